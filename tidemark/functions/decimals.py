@@ -22,7 +22,7 @@ def _unscaled_text(raw: Column, wide: bool) -> Column:
     padded = _sign_extended(raw, 32)
     upper = F.conv(F.substring(padded, 1, 16), 16, -10).cast("decimal(20,0)")
     lower = F.conv(F.substring(padded, 17, 16), 16, 10).cast("decimal(20,0)")
-    high = F.try_multiply(upper, F.lit(_TWO_TO_64).cast("decimal(20,0)"))
+    high = F.try_multiply(upper, F.lit(str(_TWO_TO_64)).cast("decimal(20,0)"))
     return F.try_add(high, lower).cast("string")
 
 

@@ -1,7 +1,7 @@
 """Time on the epoch-microsecond columns of the change log.
 
-Everything goes through TIMESTAMP_NTZ, so results do not depend on the
-session time zone.
+Integer arithmetic and TIMESTAMP_NTZ throughout, so results do not depend on
+the session time zone.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS_PER_MINUTE = 60 * 1_000_000
-MICROS_PER_DAY = 24 * 60 * MICROS_PER_MINUTE
+MICROS_PER_HOUR = 60 * MICROS_PER_MINUTE
+MICROS_PER_DAY = 24 * MICROS_PER_HOUR
 
 AsOf = datetime | Column | None
 
@@ -21,6 +22,10 @@ def _epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
 
 
+def _floored(micros: Column, width: int) -> Column:
+    return micros - F.pmod(micros, F.lit(width))
+
+
 def utc_timestamp(micros: Column) -> Column:
     """Epoch microseconds as a UTC wall-clock timestamp."""
     return F.timestamp_add("MICROSECOND", micros, _epoch())
@@ -28,26 +33,28 @@ def utc_timestamp(micros: Column) -> Column:
 
 def micros_of(ts: Column) -> Column:
     """Epoch microseconds of a wall-clock (NTZ) timestamp."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
+    seconds = (ts - _epoch()).cast("interval second").cast("decimal(20,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def day_of(micros: Column) -> Column:
-    return F.to_date(utc_timestamp(micros))
+    return F.date_from_unix_date((_floored(micros, MICROS_PER_DAY) / MICROS_PER_DAY).cast("int"))
 
 
 def month_of(micros: Column) -> Column:
     """Month as the integer yyyymm."""
-    ts = utc_timestamp(micros)
-    return F.year(ts) * 100 + F.month(ts)
+    day = day_of(micros)
+    return F.year(day) * 100 + F.month(day)
 
 
 def hour_of(micros: Column) -> Column:
-    return F.hour(utc_timestamp(micros))
+    in_day = F.pmod(micros, F.lit(MICROS_PER_DAY))
+    return (_floored(in_day, MICROS_PER_HOUR) / MICROS_PER_HOUR).cast("int")
 
 
 def day_start(micros: Column) -> Column:
     """Microsecond at which the day of ``micros`` begins."""
-    return micros - F.pmod(micros, F.lit(MICROS_PER_DAY))
+    return _floored(micros, MICROS_PER_DAY)
 
 
 def minutes_crossed(start: Column, end: Column) -> Column:
@@ -55,9 +62,8 @@ def minutes_crossed(start: Column, end: Column) -> Column:
 
     Counts crossings, so 00:00:59 to 00:01:01 is one minute.
     """
-    width = F.lit(MICROS_PER_MINUTE)
-    whole = (end - F.pmod(end, width)) - (start - F.pmod(start, width))
-    return F.floor(whole / width).cast("bigint")
+    whole = _floored(end, MICROS_PER_MINUTE) - _floored(start, MICROS_PER_MINUTE)
+    return (whole / MICROS_PER_MINUTE).cast("bigint")
 
 
 def as_of_micros(as_of: AsOf) -> Column:

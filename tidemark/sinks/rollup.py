@@ -37,7 +37,7 @@ def _write(rows: DataFrame, path: str, mode: str) -> None:
     run = F.unix_micros(F.current_timestamp())
     rows = rows.withColumn("run_micros", run).select(*ROLLUP_SCHEMA.fieldNames())
     # At most one row per calendar day.
-    rows.coalesce(1).write.mode(mode).parquet(path)
+    rows.repartition(1).write.mode(mode).parquet(path)
 
 
 def roll_yesterday(orders: DataFrame, path: str, as_of: AsOf = None) -> None:
