@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import email_from_name, encode_decimal, micros_of
 from tidemark.schemas import CUSTOMERS, ORDERS, PRODUCTS, TOPIC_ROW, TableSpec
+from tidemark.sizing import spread_small
 
 _HOUR_US = 3_600_000_000
 
@@ -31,7 +32,9 @@ def _registered(key: str) -> Column:
 
 def _all_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order changes with the values deletes had, and their operation."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_small(
+        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey"
+    )
     heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     deleted = (F.col("l_partkey") % 7 == 0) | (F.col("o_custkey") % 11 == 0)

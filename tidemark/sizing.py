@@ -27,5 +27,17 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
+def spread_small(df: DataFrame, *columns: str, below: int = 1 << 30) -> DataFrame:
+    """Hash a small input over all cores.
+
+    A file of one row group is read by one task, however many cores wait for
+    its rows to be parsed. Larger inputs come in enough splits by themselves
+    and are returned as they are.
+    """
+    if estimated_bytes(df) >= below:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *columns)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
