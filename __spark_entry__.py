@@ -169,6 +169,20 @@ def current_customers(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(_customers(spark, sf).select(*columns), "created_at")
 
 
+def snapshot_merge_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """An initial snapshot of the whole table, then the live changes over it."""
+    table = fixtures.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("name"),
+        F.lit(None).cast("string").alias("email"),
+        F.lit(None).cast("bigint").alias("created_at"),
+    )
+    taken = change_ops.snapshot_changes(table, fixtures.WIDE_CUSTOMERS, taken_at_ms=0)
+    log = taken.unionByName(fixtures.changes(spark, sf, "customers"))
+    columns = ("id", "name", "email", "created_at")
+    return _shown(current_rows(log).select(*columns), "created_at")
+
+
 def current_products(spark: SparkSession, sf: str) -> DataFrame:
     columns = ("id", "name", "price", "created_at")
     return _shown(_products(spark, sf).select(*columns), "created_at")
@@ -190,12 +204,15 @@ def merge_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 def compact_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Three log batches, compacted after the second; the state of all three."""
-    rows = fixtures.changes(spark, sf, "orders")
-    changelog = ChangeLog(spark, new_run_folder(spark, "compact"), fixtures.WIDE_ORDERS)
+    root = new_run_folder(spark, "compact")
+    changelog = ChangeLog(spark, f"{root}/orders", fixtures.WIDE_ORDERS)
     no_fault = {c: F.lit(None).cast("string") for c in ("reason", "key_text", "value_text")}
+    rows = fixtures.changes(spark, sf, "orders").withColumns(no_fault)
+    part = F.pmod(F.xxhash64("offset", "id"), F.lit(3))
+    rows.withColumn("part", part).write.partitionBy("part").parquet(f"{root}/staged")
+    staged = spark.read.parquet(f"{root}/staged")
     for batch_id in range(3):
-        part = rows.filter(F.pmod(F.xxhash64("offset", "id"), F.lit(3)) == batch_id)
-        changelog.write_batch(part.withColumns(no_fault), batch_id)
+        changelog.write_batch(staged.filter(F.col("part") == batch_id), batch_id)
         if batch_id == 1:
             changelog.compact(through={1: 1})
     return _order_state(changelog.state())
@@ -205,9 +222,10 @@ def compact_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _staged_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
-    """Topic rows written out as files and read back as a stream of several batches."""
-    rows.repartition(6, "offset").write.parquet(folder)
-    return read_topic_folder_stream(spark, folder, files_per_trigger=2)
+    """Topic rows written out as files and read back as a stream of about three batches."""
+    rows.write.parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    return read_topic_folder_stream(spark, folder, files_per_trigger=max(1, -(-files // 3)))
 
 
 def stream_orders_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -466,6 +484,7 @@ _QUERIES: dict[str, Query] = {
     "current_orders": current_orders,
     "current_customers": current_customers,
     "current_products": current_products,
+    "snapshot_merge_customers": snapshot_merge_customers,
     "merge_incremental": merge_incremental,
     "compact_orders": compact_orders,
     "stream_orders_log": stream_orders_log,

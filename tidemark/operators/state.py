@@ -15,8 +15,8 @@ from tidemark.sizing import fits_broadcast
 POSITION = ("_version", "partition", "offset")
 
 
-def _position(prefix: str = "") -> Column:
-    return F.struct(*(F.col(f"{prefix}{c}") for c in POSITION))
+def _position() -> Column:
+    return F.struct(*(F.col(c) for c in POSITION))
 
 
 def latest_versions(changes: DataFrame, key: str = "id") -> DataFrame:
@@ -40,33 +40,40 @@ def current_rows(changes: DataFrame, key: str = "id") -> DataFrame:
     return live(latest_versions(changes, key))
 
 
-def overlay(state: DataFrame, newest: DataFrame, key: str = "id") -> DataFrame:
+def overlay(
+    state: DataFrame, newest: DataFrame, key: str = "id", shown: DataFrame | None = None
+) -> DataFrame:
     """Put ``newest`` (one row per key) over ``state`` by joins alone.
 
     ``state`` is only streamed past the few changed keys; it is not shuffled
-    when those are small enough to broadcast.
+    when those are small enough to broadcast. ``shown`` is the part of the state
+    whose unchanged rows are wanted: it is read in full width, the whole state
+    just for its keys and positions.
     """
-    held = state.select(key, _position().alias("held"))
+    offered = newest.select(key, _position().alias("_offered"))
+    wanted = state if shown is None else shown
+    not_newer = F.col("_offered").isNull() | (_position() > F.col("_offered"))
+    untouched = wanted.join(offered, key, "left").filter(not_newer).drop("_offered")
     beaten = (
-        newest.select(key, _position().alias("offered"))
-        .join(held, key)
-        .filter(F.col("held") > F.col("offered"))
+        offered.join(state.select(key, *POSITION), key)
+        .filter(_position() > F.col("_offered"))
         .select(key)
     )
-    winners = newest.join(beaten, key, "left_anti")
-    untouched = state.join(winners.select(key), key, "left_anti")
-    return untouched.unionByName(winners)
+    return untouched.unionByName(newest.join(beaten, key, "left_anti"))
 
 
-def merge_changes(state: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
+def merge_changes(
+    state: DataFrame, changes: DataFrame, key: str = "id", shown: DataFrame | None = None
+) -> DataFrame:
     """Fold change rows into a state; equals ``latest_versions`` of everything.
 
     Changes below Spark's broadcast limit go over the state without shuffling
-    it; larger ones are merged by one shuffle of both.
+    it; larger ones are merged by one shuffle of both. With ``shown``, unchanged
+    rows outside that part of the state may be missing from the result.
     """
     newest = latest_versions(changes, key)
     if fits_broadcast(changes):
-        return overlay(state, newest, key)
+        return overlay(state, newest, key, shown)
     return latest_versions(state.unionByName(newest), key)
 
 

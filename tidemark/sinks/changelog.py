@@ -12,14 +12,15 @@ is part of the path because batch numbers restart with a new checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import as_of_micros, month_of
+from tidemark.functions import as_of_micros, day_of, month_of
 from tidemark.functions.times import AsOf
 from tidemark.operators.changes import TOMBSTONE
 from tidemark.operators.state import latest_versions, live, merge_changes
@@ -80,12 +81,21 @@ class ChangeLog:
     def _log(self) -> DataFrame:
         return self.spark.read.schema(self._log_schema).parquet(f"{self.root}/log")
 
-    def changes(self, after: Batches | None = None, through: Batches | None = None) -> DataFrame:
-        """Valid changes; the bounds select whole batch folders."""
+    def changes(
+        self,
+        after: Batches | None = None,
+        through: Batches | None = None,
+        others: bool = False,
+    ) -> DataFrame:
+        """Valid changes; the bounds select whole batch folders.
+
+        With ``through``, checkpoint versions it does not name are left out
+        unless ``others`` is set.
+        """
         return (
             self._log()
             .filter(F.col("valid") == 1)
-            .filter(_batch_range(after or {}, through))
+            .filter(_batch_range(after or {}, through, others))
             .select(*self._flat.fieldNames())
         )
 
@@ -120,7 +130,9 @@ class ChangeLog:
         rows = manifest.filter(F.col("generation") == newest).collect()
         return newest, {r["ckpt"]: r["through_batch"] for r in rows}
 
-    def _generation(self, number: int, since: AsOf = None) -> DataFrame:
+    def _generation(
+        self, number: int, since: AsOf = None, months: Sequence[int] | None = None
+    ) -> DataFrame:
         schema = self._flat
         if self.spec.event_time:
             schema = T.StructType([*schema.fields, T.StructField("month", T.IntegerType())])
@@ -130,19 +142,40 @@ class ChangeLog:
             bound = as_of_micros(since)
             rows = rows.filter(F.col("month") >= month_of(bound))
             rows = rows.filter(F.col(self.spec.event_time) >= bound)
+        if months is not None:
+            rows = rows.filter(F.col("month").isin(*months))
         return rows.select(*self._flat.fieldNames())
 
-    def state(self, through: Batches | None = None) -> DataFrame:
+    def state(self, through: Batches | None = None, others: bool = False) -> DataFrame:
         """One row per key, deletes included: newest generation plus later batches.
 
         Batches a generation already holds stay in, whatever ``through`` says.
         """
         number, folded = self.folded()
-        tail = self.changes(after=folded, through=through)
+        tail = self.changes(folded, through, others)
         if not number:
             return latest_versions(tail, self.spec.key)
         return merge_changes(self._generation(number), tail, self.spec.key)
 
+    def live_on(
+        self, days: Sequence[date], through: Batches | None = None, others: bool = False
+    ) -> DataFrame:
+        """Live rows whose event time falls on the given days.
+
+        Of the newest generation, only the months of these days are read in
+        full width.
+        """
+        number, folded = self.folded()
+        tail = self.changes(folded, through, others)
+        event_day = day_of(F.col(self.spec.event_time))
+        if number:
+            months = sorted({d.year * 100 + d.month for d in days})
+            part = self._generation(number, months=months).filter(event_day.isin(*days))
+            rows = merge_changes(self._generation(number), tail, self.spec.key, shown=part)
+        else:
+            rows = latest_versions(tail, self.spec.key)
+        return live(rows).filter(event_day.isin(*days))
+
     def current(self) -> DataFrame:
         """Live rows."""
         return live(self.state())
@@ -220,8 +253,9 @@ class ChangeLog:
         return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _batch_range(after: Batches, through: Batches | None) -> Column:
+def _batch_range(after: Batches, through: Batches | None, others: bool = False) -> Column:
     """Batches beyond ``after`` and, if given, not beyond ``through``."""
+    everywhere = through is None or others
     ckpt, batch = F.col("ckpt"), F.col("batch_id")
     versions = set(after) | set(through or {})
     named = []
@@ -230,7 +264,10 @@ def _batch_range(after: Batches, through: Batches | None) -> Column:
         if version in after:
             inside = inside & (batch > after[version])
         if through is not None:
-            inside = inside & (batch <= through[version]) if version in through else F.lit(False)
+            if version in through:
+                inside = inside & (batch <= through[version])
+            elif not others:
+                inside = F.lit(False)
         named.append(inside)
-    rest = [~ckpt.isin(*versions) if versions else F.lit(True)] if through is None else []
+    rest = [~ckpt.isin(*versions) if versions else F.lit(True)] if everywhere else []
     return reduce(Column.__or__, [*named, *rest], F.lit(False))

@@ -31,20 +31,15 @@ _SCHEMA = T.StructType(
 )
 
 
-def affected_days(before: DataFrame, after: DataFrame, changed: DataFrame) -> DataFrame:
-    """Days the changed orders were on before or are on after. At most one row per day."""
-    ids = changed.select("id").distinct()
-    on = day_of(F.col("order_time")).alias("date")
-    was = live(before).join(ids, "id", "left_semi").select(on)
-    now = live(after).join(ids, "id", "left_semi").select(on)
-    return was.unionByName(now).distinct()
-
+def affected_days(before: DataFrame, changed: DataFrame) -> DataFrame:
+    """Days the changed orders were on, or are put on. At most one row per day.
 
-def daily_sales_of(state: DataFrame, days: DataFrame) -> DataFrame:
-    """Daily sales of the given days; a day left without orders gets a row of zeros."""
-    orders = live(state).withColumn("date", day_of(F.col("order_time")))
-    touched = daily_sales(orders.join(days, "date", "left_semi"))
-    return days.join(touched, "date", "left").fillna(0, ["total_orders", "total_items_sold"])
+    A change that loses to a newer row adds a day that need not be refreshed,
+    which does no harm.
+    """
+    on = day_of(F.col("order_time")).alias("date")
+    was = live(before).join(changed.select("id").distinct(), "id", "left_semi")
+    return was.select(on).unionByName(live(changed).select(on)).distinct()
 
 
 def metrics_writer(
@@ -54,17 +49,21 @@ def metrics_writer(
 
     Both writes own a folder named after the batch, so a replayed batch
     replaces its own output. The batch is read back from the log instead of
-    from the topic. ``compact_every`` bounds how many batches are merged on read.
+    from the topic. A day left without orders gets a row of zeros.
+    ``compact_every`` bounds how many batches are merged on read.
     """
+    spark = changelog.spark
 
     def write(batch: DataFrame, batch_id: int) -> None:
         changelog.write_batch(batch, batch_id, ckpt)
-        seen = changelog.batches()
-        before = changelog.state(through={**seen, ckpt: batch_id - 1})
-        after = changelog.state(through={**seen, ckpt: batch_id})
-        days = affected_days(before, after, changelog.batch(batch_id, ckpt))
+        before = changelog.state(through={ckpt: batch_id - 1}, others=True)
+        # Bounded by the calendar: one row per day, however many orders changed.
+        days = affected_days(before, changelog.batch(batch_id, ckpt)).collect()
+        listed = spark.createDataFrame(days, "date date")
+        orders = changelog.live_on([r["date"] for r in days], {ckpt: batch_id}, others=True)
+        fresh = listed.join(F.broadcast(daily_sales(orders)), "date", "left")
         (
-            daily_sales_of(after, days)
+            fresh.fillna(0, ["total_orders", "total_items_sold"])
             .select(*[f.name for f in _SCHEMA.fields if f.name not in ("ckpt", "batch_id")])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
