@@ -17,7 +17,7 @@ def test_defaults():
     assert config.trigger_interval == "10 seconds"
     assert config.shuffle_partitions is None
     assert not config.debug
-    assert config.jdbc.url == "jdbc:clickhouse://clickhouse:8123/ecommerce_analytics"
+    assert config.jdbc.url == "jdbc:clickhouse://clickhouse:8123/default"
 
 
 def test_environment():

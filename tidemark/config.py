@@ -31,7 +31,7 @@ class JdbcTarget:
 def clickhouse_target(env: Mapping[str, str]) -> JdbcTarget:
     host = env.get("CLICKHOUSE_HOST", "clickhouse")
     port = int(env.get("CLICKHOUSE_PORT", "8123"))
-    database = env.get("CLICKHOUSE_DB", "ecommerce_analytics")
+    database = env.get("CLICKHOUSE_DB", "default")
     return JdbcTarget(
         url=f"jdbc:clickhouse://{host}:{port}/{database}",
         driver="com.clickhouse.jdbc.ClickHouseDriver",
