@@ -50,6 +50,7 @@ class ChangeLog:
                 T.StructField("through_batch", T.LongType()),
             ]
         )
+        self._open: tuple[int, DataFrame | None] = (0, None)
         nothing = spark.createDataFrame([], self._log_schema).write.mode("ignore")
         nothing.partitionBy("ckpt", "batch_id", "valid").parquet(f"{self.root}/log")
         nothing = spark.createDataFrame([], self._manifest_schema).write.mode("ignore")
@@ -121,23 +122,28 @@ class ChangeLog:
 
     # -- state -----------------------------------------------------------
 
+    def _manifest(self) -> DataFrame:
+        return self.spark.read.schema(self._manifest_schema).parquet(f"{self.root}/manifest")
+
     def folded(self) -> tuple[int, dict[int, int]]:
         """Newest generation and the batches it holds; generation 0 is empty."""
-        manifest = self.spark.read.schema(self._manifest_schema).parquet(f"{self.root}/manifest")
-        newest = manifest.agg(F.max("generation")).first()[0]
-        if newest is None:
-            return 0, {}
+        manifest = self._manifest()
+        newest = manifest.agg(F.max("generation")).scalar()
         rows = manifest.filter(F.col("generation") == newest).collect()
-        return newest, {r["ckpt"]: r["through_batch"] for r in rows}
+        number = rows[0]["generation"] if rows else 0
+        return number, {r["ckpt"]: r["through_batch"] for r in rows}
 
     def _generation(
         self, number: int, since: AsOf = None, months: Sequence[int] | None = None
     ) -> DataFrame:
-        schema = self._flat
-        if self.spec.event_time:
-            schema = T.StructType([*schema.fields, T.StructField("month", T.IntegerType())])
-        path = f"{self.root}/state/generation={number}"
-        rows = self.spark.read.schema(schema).parquet(path)
+        if self._open[0] != number:
+            # A generation in the manifest never changes: its files are listed once.
+            schema = self._flat
+            if self.spec.event_time:
+                schema = T.StructType([*schema.fields, T.StructField("month", T.IntegerType())])
+            path = f"{self.root}/state/generation={number}"
+            self._open = (number, self.spark.read.schema(schema).parquet(path))
+        rows = self._open[1]
         if since is not None and self.spec.event_time:
             bound = as_of_micros(since)
             rows = rows.filter(F.col("month") >= month_of(bound))
@@ -167,14 +173,16 @@ class ChangeLog:
         """
         number, folded = self.folded()
         tail = self.changes(folded, through, others)
-        event_day = day_of(F.col(self.spec.event_time))
         if number:
             months = sorted({d.year * 100 + d.month for d in days})
-            part = self._generation(number, months=months).filter(event_day.isin(*days))
+            part = self._generation(number, months=months)
             rows = merge_changes(self._generation(number), tail, self.spec.key, shown=part)
         else:
             rows = latest_versions(tail, self.spec.key)
-        return live(rows).filter(event_day.isin(*days))
+        # Bounded by the calendar.
+        listed = F.broadcast(self.spark.createDataFrame([(d,) for d in days], "_day date"))
+        on = live(rows).withColumn("_day", day_of(F.col(self.spec.event_time)))
+        return on.join(listed, "_day", "left_semi").drop("_day")
 
     def current(self) -> DataFrame:
         """Live rows."""
@@ -227,12 +235,11 @@ class ChangeLog:
         Keeping one generation back lets readers that planned on it finish.
         Returns the number of folders deleted.
         """
-        manifest = self.spark.read.schema(self._manifest_schema).parquet(f"{self.root}/manifest")
         newest, _ = self.folded()
         kept_from = newest - 1
         if kept_from < 1:
             return 0
-        held = manifest.filter(F.col("generation") == kept_from).withColumnRenamed(
+        held = self._manifest().filter(F.col("generation") == kept_from).withColumnRenamed(
             "through_batch", "through"
         )
         gone = (

@@ -43,14 +43,19 @@ def affected_days(before: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def metrics_writer(
-    changelog: ChangeLog, metrics_path: str, ckpt: int = 1, compact_every: int | None = None
+    changelog: ChangeLog,
+    metrics_path: str,
+    ckpt: int = 1,
+    compact_every: int | None = None,
+    drop_folded: bool = False,
 ) -> BatchWriter:
     """Log each micro-batch, then refresh the days it touches.
 
     Both writes own a folder named after the batch, so a replayed batch
     replaces its own output. The batch is read back from the log instead of
     from the topic. A day left without orders gets a row of zeros.
-    ``compact_every`` bounds how many batches are merged on read.
+    ``compact_every`` bounds how many batches are merged on read, and
+    ``drop_folded`` how many batch folders there are to list.
     """
     spark = changelog.spark
 
@@ -71,6 +76,8 @@ def metrics_writer(
         )
         if compact_every and (batch_id + 1) % compact_every == 0:
             changelog.compact(through={ckpt: batch_id})
+            if drop_folded:
+                changelog.drop_folded()
 
     return write
 
