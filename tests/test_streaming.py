@@ -171,7 +171,7 @@ def test_streamed_daily_sales_equal_the_batch_view(spark, small, tmp_path, compa
 def test_an_order_that_moves_changes_both_days(spark, tmp_path):
     folder, ckpt, daily = (str(tmp_path / n) for n in ("topic", "ckpt", "daily"))
     changelog = ChangeLog(spark, str(tmp_path / "log"), ORDERS)
-    writer = metrics_writer(changelog, daily, compact_every=1, drop_folded=True)
+    writer = metrics_writer(changelog, daily, compact_every=2, drop_folded=True)
     put(spark, folder, created(1, 1, order_time=0), created(2, 2, order_time=0))
     put(spark, folder, created(3, 3, order_time=9 * MICROS_PER_DAY))
     put(spark, folder, message("not json", offset=9))
