@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import as_of_micros, day_of, month_of
 from tidemark.functions.times import AsOf
-from tidemark.operators.changes import TOMBSTONE
+from tidemark.operators.changes import TOMBSTONE, emit_where
 from tidemark.operators.state import latest_versions, live, merge_changes
 from tidemark.schemas import TableSpec
 
@@ -66,12 +66,11 @@ class ChangeLog:
         delete and are not kept.
         """
         reason = F.col("reason")
-        kept = triaged.filter(reason.isNull() | (reason != TOMBSTONE))
         names = [f.name for f in self._log_schema.fields if f.name not in ("ckpt", "batch_id")]
+        marked = triaged.withColumn("valid", reason.isNull().cast("int"))
+        kept = emit_where(marked, reason.isNull() | (reason != TOMBSTONE), names)
         (
-            kept.withColumn("valid", reason.isNull().cast("int"))
-            .select(*names)
-            .write.mode("overwrite")
+            kept.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("valid")
             .parquet(f"{self.root}/log/ckpt={ckpt}/batch_id={batch_id}")
