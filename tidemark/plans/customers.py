@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,15 +81,15 @@ def registration_trend(customers: DataFrame, as_of: AsOf = None, days: int = 30)
 def customer_overview(customers: DataFrame, orders: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Three headline numbers as (metric, value) rows."""
     since = as_of_micros(as_of) - 7 * MICROS_PER_DAY
-    parts = [
-        customers.agg(F.count(F.lit(1)).alias("value")).select(
-            F.lit("Total Customers").alias("metric"), "value"
-        ),
-        orders.agg(F.count_distinct("customer_id").alias("value")).select(
-            F.lit("Active Customers (with orders)").alias("metric"), "value"
-        ),
-        customers.filter(F.col("created_at") >= since)
-        .agg(F.count(F.lit(1)).alias("value"))
-        .select(F.lit("New Customers (Last 7d)").alias("metric"), "value"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    counted = customers.agg(
+        F.count(F.lit(1)).alias("everyone"),
+        F.count_if(F.col("created_at") >= since).alias("new"),
+    )
+    pairs = F.array(
+        F.struct(F.lit("Total Customers").alias("metric"), F.col("everyone").alias("value")),
+        F.struct(F.lit("New Customers (Last 7d)").alias("metric"), F.col("new").alias("value")),
+    )
+    active = orders.agg(F.count_distinct("customer_id").alias("value")).select(
+        F.lit("Active Customers (with orders)").alias("metric"), "value"
+    )
+    return counted.select(F.inline(pairs)).unionByName(active)

@@ -42,19 +42,18 @@ def orphans(
     """Child rows whose parent is missing, one row per broken reference.
 
     ``references`` maps a parent table's name to the child's column and the
-    parent rows.
+    parent rows. The children are gone through once, whatever the number of
+    references: working out their state twice would cost more than carrying
+    the row through one more join.
     """
-    parts = []
+    rows = children.select("id", *(column for column, _ in references.values()))
+    missing = []
     for parent_name, (column, parents) in references.items():
-        held = parents.select(F.col("id").alias(column))
-        parts.append(
-            children.filter(F.col(column).isNotNull())
-            .select("id", column)
-            .join(held, column, "left_anti")
-            .select(
-                "id",
-                F.lit(parent_name).alias("missing_parent"),
-                F.col(column).alias("parent_id"),
-            )
+        held = parents.select(F.col("id").alias(column)).distinct()
+        rows = rows.join(held.withColumn(f"_{parent_name}", F.lit(True)), column, "left")
+        broken = F.col(column).isNotNull() & F.col(f"_{parent_name}").isNull()
+        finding = F.struct(
+            F.lit(parent_name).alias("missing_parent"), F.col(column).alias("parent_id")
         )
-    return reduce(DataFrame.unionByName, parts)
+        missing.append(F.when(broken, finding))
+    return rows.select("id", F.inline(F.array_compact(F.array(*missing))))
