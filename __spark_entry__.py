@@ -35,6 +35,15 @@ from tidemark.sources.tables import snapshot_in_order
 from tidemark.streaming.jobs import finish, log_writer, run_tables, start_table
 from tidemark.streaming.metrics import metrics_writer, read_daily_sales
 
+try:
+    import corpus_pipeline
+    from tidemark.llm import entries as llm_entries
+except ModuleNotFoundError as missing:
+    # the library works without this subpackage; any other missing module is an error
+    if missing.name not in ("corpus_pipeline", "tidemark.llm"):
+        raise
+    llm_entries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FRESHNESS_CLOCK = datetime(2001, 12, 1, 0, 0, 30)
@@ -542,9 +551,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return daily_sales(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def core_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _llm_queries() -> dict[str, Query]:
+    if llm_entries is None:
+        return {}
+    return {**llm_entries.QUERIES, "pipeline": corpus_pipeline.run}
+
+
+def queries() -> dict[str, Query]:
+    return {**_QUERIES, **_llm_queries()}
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_sql()
+    return {**oracles.all_sql(), **(llm_entries.ORACLE_SQL if llm_entries else {})}

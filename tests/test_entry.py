@@ -5,7 +5,7 @@ from compare import connect, mismatch
 
 import __spark_entry__ as contract
 
-KEYS = sorted(contract.queries())
+KEYS = sorted(contract.core_queries())
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +14,7 @@ def con(small):
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.oracle_sql()) == set(KEYS)
+    assert set(contract.oracles.all_sql()) == set(KEYS)
 
 
 def test_entry(spark):
