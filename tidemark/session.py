@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +52,15 @@ def shared_folder(spark: SparkSession) -> str:
 def new_run_folder(spark: SparkSession, label: str) -> str:
     """A path no other run uses, below the shared folder."""
     return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers on this machine find the package wherever the driver found it.
+
+    On a cluster it is installed or shipped with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, *paths) if p)
