@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, line_dedup, quality, simhash
-from tidemark.session import new_run_folder
+from tidemark.session import let_workers_import, new_run_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -75,6 +75,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written to the shared folder and read again."""
+    let_workers_import(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = new_run_folder(spark, "pipeline")
     for n, (_, stage) in enumerate(STAGES):

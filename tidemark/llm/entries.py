@@ -8,15 +8,38 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, quality, simhash, url_rules
+from tidemark.llm import bpe, decontaminate, line_dedup, pii, quality, simhash, url_rules
+from tidemark.session import let_workers_import
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda c: c["base"])
+    kinds = F.lit(pii.KINDS)
+
+    def count(kind: int):
+        return F.size(F.filter(base, lambda c: c["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        named = lambda c: F.concat_ws(":", F.get(kinds, c["kind"]), c["start"], c["end"])
+        return F.array_join(F.transform(spans, named), ",")
+
+    return found.select(
+        "doc_id",
+        *(count(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -77,6 +100,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_simhash": op2_simhash,
     "op3_url_rules": op3_url_rules,
     "op4_bpe": op4_bpe,
