@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, pii, quality, simhash, url_rules
+from tidemark.llm import bpe, decontaminate, line_dedup, pii, quality, simhash, topk, url_rules, warc
 from tidemark.session import let_workers_import
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -63,6 +63,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.filter("vec_id % 50 = 0"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = line_dedup.with_kept_lines(_table(spark, sf_dir, "documents"))
     return lines.select(
@@ -73,6 +78,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_histories(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured_at"
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     found = decontaminate.contamination(docs, benchmark, ["doc_id"])
@@ -104,12 +115,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_url_rules": op3_url_rules,
     "op4_bpe": op4_bpe,
+    "op5_topk": op5_topk,
     "op6_line_dedup": op6_line_dedup,
+    "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
 }
 
+TOP_K_SQL = """
+WITH points AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS point
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_inner_product(q.point::DOUBLE[], c.point::DOUBLE[])::BIGINT AS score
+  FROM points q JOIN points c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_url_rules": url_rules.SQL,
+    "op5_topk": TOP_K_SQL,
     "op6_line_dedup": line_dedup.SQL,
 }
