@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, pii, quality, simhash, topk, url_rules, warc
+from tidemark.llm import bpe, decontaminate, line_dedup, pii, quality, simhash, token_counts, topk, url_rules, warc
 from tidemark.session import let_workers_import
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -78,6 +78,27 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after base personal data is masked and the source put before the text."""
+    path = public_tokenizers.path(RANKS)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    masked = pii.mask_edits(docs, ["doc_id", "source", "text"])
+    head = F.concat(F.lit("["), "source", F.lit("] "))
+    first = F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"), head.alias("replacement"))
+    todo = F.concat("edits", F.when(F.col("source").isNotNull(), F.array(first)).otherwise(F.array()))
+    edited = masked.select("doc_id", "text", todo.alias("edits"))
+    trees = token_counts.count_trees(edited, path, ["doc_id", "text", "edits"])
+    found = token_counts.apply_edits(trees.withColumn("n_edits", F.size("edits")), path, ["doc_id", "n_edits"])
+    return found.select(
+        "doc_id",
+        F.col("n_edits").cast("long"),
+        "n_before",
+        "n_tokens",
+        "n_encoded",
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_histories(_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured_at"
@@ -117,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_topk": op5_topk,
     "op6_line_dedup": op6_line_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,

@@ -343,3 +343,32 @@ def personal_data(docs: DataFrame, columns: list[str], text: str = "text") -> Da
         ),
     )
     return found.select(*(F.col(n).alias(c) for c, n in zip(columns, names)), spans.alias("spans"))
+
+
+def mask_edits(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+    """``columns`` and ``edits`` that put a kind's name for each base span, the last first.
+
+    Of overlapping spans the first is masked.
+    """
+    edit = T.StructType(
+        [
+            T.StructField("start", T.LongType()),
+            T.StructField("end", T.LongType()),
+            T.StructField("replacement", T.StringType()),
+        ]
+    )
+    arrow = pa.list_(
+        pa.struct([("start", pa.int64()), ("end", pa.int64()), ("replacement", pa.string())])
+    )
+
+    def edits(body: str) -> list[dict]:
+        out: list[dict] = []
+        for a, kind, b in base_spans(body):
+            if not out or a >= out[-1]["end"]:
+                out.append({"start": a, "end": b, "replacement": f"[{KINDS[kind]}]"})
+        return out[::-1]
+
+    def work(texts: list[str]) -> list[pa.Array]:
+        return [pa.array([edits(t) for t in texts], arrow)]
+
+    return map_texts(docs, columns, text, [("edits", T.ArrayType(edit))], work)
