@@ -51,6 +51,8 @@ STATES = 7
 S_JOIN, S_START, S_MORE, S_SHORT, S_LONG, S_END = range(3, 9)
 
 _BLOCK = 256
+#: Bytes of text whose pre-tokens are held at a time.
+CHUNK_BYTES = 1 << 20
 
 
 @lru_cache(1)
@@ -65,6 +67,7 @@ def _classes() -> np.ndarray:
     return np.append(out, np.uint8(END))
 
 
+@lru_cache(1)
 def _rules() -> tuple[np.ndarray, np.ndarray]:
     """By symbol and state: the state after it, and whether a token starts at it."""
     step = np.zeros((9, STATES), np.uint8)
@@ -104,15 +107,15 @@ def _compositions() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _symbols(points: np.ndarray) -> np.ndarray:
-    kind = _classes()[points]
-    after = np.append(kind[1:], np.uint8(END))
-    before = np.append(np.uint8(END), kind[:-1])
-    word_next = after < SPACE
-    white = kind == SPACE
-    symbol = kind.copy()
-    symbol[white] = np.where((before != SPACE) | word_next, S_START, S_MORE)[white]
-    symbol[white & word_next & (points == 0x20)] = S_JOIN
-    symbol[kind == END] = S_END
+    """Symbols of code points that end with the end of a text."""
+    symbol = _classes().take(points)
+    white = np.flatnonzero(symbol == SPACE)
+    before = np.where(white > 0, symbol[white - 1], np.uint8(END))
+    word_next = symbol[np.minimum(white + 1, len(symbol) - 1)] < SPACE
+    begins = np.where((before != SPACE) | word_next, S_START, S_MORE)
+    found = np.where(word_next & (points[white] == 0x20), S_JOIN, begins)
+    symbol[symbol == END] = S_END
+    symbol[white] = found
     quotes = np.flatnonzero(points == ord("'"))
     if len(quotes):
         padded = np.append(points, [_END_POINT, _END_POINT])
@@ -123,7 +126,9 @@ def _symbols(points: np.ndarray) -> np.ndarray:
     return symbol
 
 
-def _states_before(symbol: np.ndarray) -> np.ndarray:
+def _scan(symbol: np.ndarray) -> np.ndarray:
+    """The state after each symbol: products of the functions up to it, within
+    blocks and then over the blocks, applied to the first state."""
     functions, of_symbol, table, _ = _compositions()
     n, size = len(symbol), len(table)
     flat = table.ravel()
@@ -141,7 +146,22 @@ def _states_before(symbol: np.ndarray) -> np.ndarray:
     first = np.concatenate(([FRESH], functions[total[:-1], FRESH]))
     scan *= STATES
     scan += first
-    after = functions.ravel().take(scan).T.ravel()[:n]
+    return functions.ravel().take(scan).T.ravel()[:n]
+
+
+def _states_before(symbol: np.ndarray) -> np.ndarray:
+    """The state before each symbol.
+
+    All functions but those of apostrophes are constant, unless letters of an ending
+    are to come. So only the stretches from the symbol before an apostrophe with an
+    ending to the third after it are scanned; each begins with a constant function.
+    """
+    after = _rules()[0][:, FRESH].take(symbol)
+    quotes = np.flatnonzero((symbol == S_SHORT) | (symbol == S_LONG))
+    if len(quotes):
+        near = np.unique(quotes[:, None] + np.arange(-1, 4))
+        near = near[(near >= 0) & (near < len(symbol))]
+        after[near] = _scan(symbol[near])
     return np.append(np.uint8(FRESH), after[:-1])
 
 
@@ -160,6 +180,21 @@ def pretoken_starts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return at - row, np.bincount(row, minlength=len(texts))
 
 
+class _Merged(dict):
+    """Ids of pieces met before; emptied when it holds its number of pieces."""
+
+    def __init__(self, vocab: Vocabulary) -> None:
+        self.vocab = vocab
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = self.vocab.merge(piece.encode())
+        if len(piece) <= self.vocab.CACHED_LENGTH:
+            if len(self) >= self.vocab.CACHED_PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Vocabulary:
     """Ranks of a vocabulary file, and a bounded cache of merged pieces."""
 
@@ -176,7 +211,7 @@ class Vocabulary:
         self.lengths = np.fromiter(map(len, tokens), np.int64, size)
         self.places = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self._cache: dict[str, tuple[int, ...]] = {}
+        self._cache = _Merged(self)
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Ids of a piece: the pair of lowest rank is merged first, the left of equals."""
@@ -231,17 +266,8 @@ class Vocabulary:
         return tuple(ranks[piece[i : end[i]]] for i in range(n) if end[i])
 
     def pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        cache, out = self._cache, []
-        for piece in pieces:
-            ids = cache.get(piece)
-            if ids is None:
-                ids = self.merge(piece.encode())
-                if len(piece) <= self.CACHED_LENGTH:
-                    if len(cache) >= self.CACHED_PIECES:
-                        cache.clear()
-                    cache[piece] = ids
-            out.append(ids)
-        return out
+        """The ids of each piece."""
+        return list(map(self._cache.__getitem__, pieces))
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bytes of the tokens, each put at its offset."""
@@ -256,12 +282,26 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+#: Code points, narrow ones first, of which one that a text lacks marks its cuts.
+_MARKS = [*range(0x09), *range(0x0E, 0x20), *range(0x7F, 0xA0), *range(0x10FF00, _END_POINT)]
+
+
+def cut(text: str, starts: np.ndarray) -> list[str]:
+    """The pieces of a text that begin at the given places, the first at 0."""
+    if len(starts) < 2:
+        return [text] * len(starts)
+    mark = next((m for m in map(chr, _MARKS) if m not in text), None)
+    if mark is None:
+        at = starts.tolist()
+        return [text[a:b] for a, b in zip(at, [*at[1:], len(text)])]
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    return np.insert(points, starts[1:], ord(mark)).tobytes().decode("utf-32-le").split(mark)
+
+
 def slice_pieces(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """The pre-tokens of all texts, and how many each has."""
     starts, counts = pretoken_starts(texts)
-    whole = "".join(texts)
-    at = starts.tolist()
-    return [whole[a:b] for a, b in zip(at, [*at[1:], len(whole)])], counts
+    return cut("".join(texts), starts), counts
 
 
 def _encode(texts: list[str], path: str) -> list[pa.Array]:
@@ -287,7 +327,7 @@ def encode(docs: DataFrame, path: str, columns: list[str], text: str = "text") -
     """
     ints = T.ArrayType(T.IntegerType())
     added = [("ids", ints), ("offsets", ints)]
-    return map_texts(docs, columns, text, added, lambda texts: _encode(texts, path))
+    return map_texts(docs, columns, text, added, lambda texts: _encode(texts, path), CHUNK_BYTES)
 
 
 def decode(tokens: DataFrame, path: str, columns: list[str]) -> DataFrame:

@@ -87,11 +87,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"), head.alias("replacement"))
     todo = F.concat("edits", F.when(F.col("source").isNotNull(), F.array(first)).otherwise(F.array()))
     edited = masked.select("doc_id", "text", todo.alias("edits"))
-    trees = token_counts.count_trees(edited, path, ["doc_id", "text", "edits"])
-    found = token_counts.apply_edits(trees.withColumn("n_edits", F.size("edits")), path, ["doc_id", "n_edits"])
-    return found.select(
+    counted = edited.withColumn("n_edits", F.size("edits").cast("long"))
+    return token_counts.edited_counts(counted, path, ["doc_id", "n_edits"]).select(
         "doc_id",
-        F.col("n_edits").cast("long"),
+        "n_edits",
         "n_before",
         "n_tokens",
         "n_encoded",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.batches import lists, map_texts, slices
-from tidemark.llm.bpe import pretoken_starts, slice_pieces, vocabulary
+from tidemark.llm.bpe import CHUNK_BYTES, cut, pretoken_starts, slice_pieces, vocabulary
 
 #: A pre-token ends by what stands up to this many code points after it.
 LOOKAHEAD = 2
@@ -105,7 +105,7 @@ class CountedText:
             reach *= 4
         stop_segment, stop = joined
         window = self.text[begin:stop]
-        pieces, _ = slice_pieces([window])
+        pieces = cut(window, starts[: np.searchsorted(starts, len(window))])
         tokens = sum(map(len, vocabulary(self.path).pieces(pieces)))
         self.encoded += len(window)
         for segment in self._between(first + 1, stop_segment):
@@ -150,7 +150,7 @@ def count_trees(docs: DataFrame, path: str, columns: list[str], text: str = "tex
     leaves of its tree. A null text is an empty one, whose tree has no leaves."""
     ints = T.ArrayType(T.IntegerType())
     added = [("sizes", ints), ("tokens", ints)]
-    return map_texts(docs, columns, text, added, lambda texts: _segments(texts, path))
+    return map_texts(docs, columns, text, added, lambda texts: _segments(texts, path), CHUNK_BYTES)
 
 
 _COUNTS = [
@@ -163,6 +163,47 @@ _COUNTS = [
 ]
 
 
+def _edited(body: str, sizes: np.ndarray, tokens: np.ndarray, todo: list | None, path: str) -> tuple:
+    """A row of ``_COUNTS``."""
+    before = int(tokens.sum())
+    todo = [e for e in todo or [] if e and e["start"] is not None and e["end"] is not None]
+    if not todo:
+        return body, sizes, tokens, before, before, 0
+    counted = CountedText(body, sizes, tokens, path)
+    for e in todo:
+        counted.edit(e["start"], e["end"], e["replacement"] or "")
+    tree = counted.tree
+    kept = slice(tree.leaves, tree.leaves + tree.count)
+    full = tree.sizes[kept] > 0
+    leaves = tree.sizes[kept][full], tree.tokens[kept][full]
+    return counted.text, *leaves, before, counted.n_tokens, counted.encoded
+
+
+def _map_edits(rows: DataFrame, columns: list[str], path: str, made: list[str], chunk: int) -> DataFrame:
+    """The ``made`` of ``_COUNTS`` for rows of columns, text, edits and, where it is
+    stored, the tree; otherwise the tree is built from the text first."""
+    n = len(columns)
+    stored = len(rows.columns) > n + 2
+    added = [(i, T.StructField(*c)) for i, c in enumerate(_COUNTS) if c[0] in made]
+    schema = T.StructType([rows.schema[c] for c in columns] + [f for _, f in added])
+    kinds = [pa.string(), *[pa.list_(pa.int32())] * 2, *[pa.int64()] * 3]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(pc.binary_length(batch.column(n)).to_numpy(), chunk):
+                part = batch.slice(a, b - a)
+                texts = part.column(n).to_pylist()
+                trees = [part.column(n + 2), part.column(n + 3)] if stored else _segments(texts, path)
+                leaves = ([x.values.to_numpy() for x in column] for column in trees)
+                todo = part.column(n + 1).to_pylist()
+                done = list(zip(*(_edited(*x, path) for x in zip(texts, *leaves, todo))))
+                kept = [part.column(i) for i in range(n)]
+                new = [pa.array(list(done[i]), kinds[i]) for i, _ in added]
+                yield pa.RecordBatch.from_arrays([*kept, *new], names=schema.fieldNames())
+
+    return rows.mapInArrow(run, schema)
+
+
 def apply_edits(
     trees: DataFrame, path: str, columns: list[str], text: str = "text", edits: str = "edits"
 ) -> DataFrame:
@@ -175,41 +216,16 @@ def apply_edits(
     encoded anew. The document of each row is edited in one task, as a text is one
     value; rows are independent.
     """
-    rows = trees.select(
-        *columns, F.coalesce(F.col(text), F.lit("")).alias("__text"), "sizes", "tokens", edits
-    )
-    schema = T.StructType([trees.schema[c] for c in columns] + [T.StructField(n, t) for n, t in _COUNTS])
-    n = len(columns)
+    body = F.coalesce(F.col(text), F.lit("")).alias("__text")
+    rows = trees.select(*columns, body, edits, "sizes", "tokens")
+    return _map_edits(rows, columns, path, [n for n, _ in _COUNTS], CHUNK_BYTES)
 
-    def changed(body: str, sizes: np.ndarray, tokens: np.ndarray, todo: list | None) -> tuple:
-        before = int(tokens.sum())
-        todo = [e for e in todo or [] if e and e["start"] is not None and e["end"] is not None]
-        if not todo:
-            return body, sizes, tokens, before, before, 0
-        counted = CountedText(body, sizes, tokens, path)
-        for e in todo:
-            counted.edit(e["start"], e["end"], e["replacement"] or "")
-        tree = counted.tree
-        kept = slice(tree.leaves, tree.leaves + tree.count)
-        full = tree.sizes[kept] > 0
-        leaves = tree.sizes[kept][full], tree.tokens[kept][full]
-        return counted.text, *leaves, before, counted.n_tokens, counted.encoded
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), *[pa.list_(pa.int32())] * 2, *[pa.int64()] * 3]
-        for batch in batches:
-            lengths = pc.binary_length(batch.column(n)).to_numpy()
-            for a, b in slices(lengths, 4 << 20):
-                part = batch.slice(a, b - a)
-                arrays = [
-                    [x.values.to_numpy() for x in part.column(n + i)] for i in (1, 2)
-                ]
-                done = [
-                    changed(*x)
-                    for x in zip(part.column(n).to_pylist(), *arrays, part.column(n + 3).to_pylist())
-                ]
-                made = [pa.array(list(c), k) for c, k in zip(zip(*done), kinds)]
-                kept = [part.column(i) for i in range(n)]
-                yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.fieldNames())
-
-    return rows.mapInArrow(run, schema)
+def edited_counts(
+    docs: DataFrame, path: str, columns: list[str], text: str = "text", edits: str = "edits"
+) -> DataFrame:
+    """As ``apply_edits`` for texts whose trees are not stored, and without returning these:
+    a tree is built and edited in the same pass."""
+    rows = docs.select(*columns, F.coalesce(F.col(text), F.lit("")).alias("__text"), edits)
+    made = [n for n, _ in _COUNTS if n not in ("sizes", "tokens")]
+    return _map_edits(rows, columns, path, made, CHUNK_BYTES)
