@@ -198,7 +198,7 @@ class _Merged(dict):
 class Vocabulary:
     """Ranks of a vocabulary file, and a bounded cache of merged pieces."""
 
-    CACHED_PIECES, CACHED_LENGTH, SHORT = 500_000, 64, 40
+    CACHED_PIECES, CACHED_LENGTH, SHORT = 250_000, 64, 40
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as lines:

@@ -31,7 +31,7 @@ BINS = 16
 RANK = 8
 EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.05, 1e-4
 THRESHOLD = 0.3
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 100_000
 
 _UPPER = bytes(range(0x41, 0x5B))
 _LOWER = bytes(range(0x61, 0x7B))
