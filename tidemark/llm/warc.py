@@ -194,7 +194,8 @@ def read_archives(runs: DataFrame, folder: str) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*found), schema.types)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return runs.repartition("run").mapInArrow(run, _ENTRY)
+    # a task for each archive: rows here are small, but what they name is not
+    return runs.repartition(max(1, runs.count()), "run").mapInArrow(run, _ENTRY)
 
 
 def _order(entry: tuple) -> tuple:
