@@ -48,17 +48,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with a check that they decode to the text (null: empty)."""
     path = public_tokenizers.path(RANKS)
-    kept = docs.select("doc_id", "lang", "source", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "text")
-    columns = ["doc_id", "lang", "source", "digest"]
-    decoded = bpe.decode(bpe.encode(kept, path, columns), path, columns)
-    return decoded.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"),
-    )
+    tokens = bpe.encode_and_check(docs, path, ["doc_id", "lang", "source"])
+    counted = F.size("ids").cast("long").alias("n_tokens")
+    return tokens.select("doc_id", "lang", "source", counted, "ids", "round_trip")
 
 
 STAGES = [

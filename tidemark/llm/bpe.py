@@ -330,6 +330,25 @@ def encode(docs: DataFrame, path: str, columns: list[str], text: str = "text") -
     return map_texts(docs, columns, text, added, lambda texts: _encode(texts, path), CHUNK_BYTES)
 
 
+def encode_and_check(docs: DataFrame, path: str, columns: list[str], text: str = "text") -> DataFrame:
+    """``columns``, ``ids`` and ``round_trip``: whether the ids decode to the text's bytes.
+
+    Both ways are taken in one pass, so that a task needs one Python worker.
+    """
+    added = [("ids", T.ArrayType(T.IntegerType())), ("round_trip", T.BooleanType())]
+
+    def work(texts: list[str]) -> list[pa.Array]:
+        ids, offsets = _encode(texts, path)
+        vocab, checks = vocabulary(path), []
+        bounds = ids.offsets.to_numpy().tolist()
+        flat, places = ids.values.to_numpy(), offsets.values.to_numpy()
+        for body, a, b in zip(texts, bounds, bounds[1:]):
+            checks.append(vocab.decode(flat[a:b], places[a:b]).tobytes() == body.encode())
+        return [ids, pa.array(checks)]
+
+    return map_texts(docs, columns, text, added, work, CHUNK_BYTES)
+
+
 def decode(tokens: DataFrame, path: str, columns: list[str]) -> DataFrame:
     """``columns``, ``ids`` and ``decoded``, the bytes of every row's tokens.
 

@@ -18,7 +18,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.llm.batches import slices
 
@@ -210,8 +209,13 @@ def _merged(spans: list[int]) -> list[int]:
     return out
 
 
-def _pass_over(rows: DataFrame, carried: int, windows: Windows, chunk_bytes: int) -> DataFrame:
-    """One pass: finds the windows and adds to the spans and items of each row."""
+def _pass_over(
+    rows: DataFrame, carried: int, windows: Windows, chunk_bytes: int, cutting: bool = False
+) -> DataFrame:
+    """One pass: finds the windows and adds to the spans and items of each row.
+
+    If ``cutting``, the text is returned without the spans.
+    """
     names = rows.columns
     handed = rows.sparkSession.sparkContext.broadcast(windows)
 
@@ -226,9 +230,13 @@ def _pass_over(rows: DataFrame, carried: int, windows: Windows, chunk_bytes: int
                 old_items = part.column(carried + 3).to_pylist()
                 spans = [_merged(x + y) if x else y for x, y in zip(old_spans, spans)]
                 items = [sorted({*x, *y}) if x else y for x, y in zip(old_items, items)]
+                body = part.column(carried)
+                if cutting:
+                    body = pa.array([cut_words(t, x) for t, x in zip(texts, spans)], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(i) for i in range(carried + 1)),
+                        *(part.column(i) for i in range(carried)),
+                        body,
                         pa.array(counts, pa.int64()),
                         pa.array(spans, pa.list_(pa.int32())),
                         pa.array(items, pa.list_(pa.string())),
@@ -241,8 +249,9 @@ def _pass_over(rows: DataFrame, carried: int, windows: Windows, chunk_bytes: int
 
 def benchmark_blocks(
     benchmark: DataFrame, item_id: str, text: str, block_chars: int
-) -> Iterator[list[Row]]:
-    """The items in blocks of about ``block_chars`` characters, one at a time on the driver."""
+) -> Iterator[tuple[list[Row], bool]]:
+    """The items in blocks of about ``block_chars`` characters, one at a time on the driver,
+    and whether it is the last."""
     items = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
@@ -251,7 +260,7 @@ def benchmark_blocks(
     blocks = max(1, -(-int(total) // block_chars))
     for block in range(blocks):
         own = F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block
-        yield items.filter(own).distinct().collect()
+        yield items.filter(own).distinct().collect(), block == blocks - 1
 
 
 def contamination(
@@ -264,6 +273,7 @@ def contamination(
     size: int = WINDOW,
     block_chars: int = BLOCK_CHARS,
     chunk_bytes: int = 8 << 20,
+    cutting: bool = False,
 ) -> DataFrame:
     """``columns``, ``n_words``, ``word_spans`` and ``items`` of every row, and the text.
 
@@ -272,7 +282,7 @@ def contamination(
     A null text or item is an empty one, without words or windows; a null item id
     counts as the empty string. Repeated items count once; repeated rows of
     documents each get their result. An empty benchmark hits nothing. The text is
-    returned as ``text``, whatever its name was.
+    returned as ``text``, whatever its name was, and without the spans if ``cutting``.
     """
     rows = docs.select(
         *columns,
@@ -281,8 +291,9 @@ def contamination(
         F.array().cast("array<int>").alias("word_spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block in benchmark_blocks(benchmark, item_id, item_text, block_chars):
-        rows = _pass_over(rows, len(columns), Windows([tuple(r) for r in block], size), chunk_bytes)
+    for block, last in benchmark_blocks(benchmark, item_id, item_text, block_chars):
+        windows = Windows([tuple(r) for r in block], size)
+        rows = _pass_over(rows, len(columns), windows, chunk_bytes, cutting and last)
     return rows
 
 
@@ -307,8 +318,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text")
     names = [f"__{i}" for i in range(len(others))]
     renamed = docs.select(*(F.col(c).alias(n) for c, n in zip(others, names)), F.col(text).alias("__t"))
     was_null = renamed.withColumn("__null", F.col("__t").isNull())
-    found = contamination(was_null, benchmark, [*names, "__null"], "__t")
-    cut = F.udf(cut_words, T.StringType())("text", "word_spans")
-    back = found.select(*names, F.when(~F.col("__null"), cut).alias("__t"))
+    found = contamination(was_null, benchmark, [*names, "__null"], "__t", cutting=True)
+    back = found.select(*names, F.when(~F.col("__null"), F.col("text")).alias("__t"))
     return back.toDF(*others, text).select(*docs.columns)
 
