@@ -456,11 +456,18 @@ def sample_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.duplicates(fixtures.changes(spark, sf, "orders"), "id")
+    """Live orders of which every hundredth is delivered twice."""
+    rows = _orders(spark, sf).select("id")
+    return quality.duplicates(rows.unionByName(rows.filter("id % 100 = 3")), "id")
 
 
 def dq_null_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.null_counts({n: (r, fixtures.SPECS[n]) for n, r in _logs(spark, sf).items()})
+    """Changes that are not deletes, of which some lost an address or a quantity."""
+    kept = {n: r.filter("_deleted = 0") for n, r in _logs(spark, sf).items()}
+    for name, column, every in (("customers", "email", 10), ("orders", "quantity", 100)):
+        lost = F.when(F.col("id") % every != 3, F.col(column))
+        kept[name] = kept[name].withColumn(column, lost)
+    return quality.null_counts({n: (r, fixtures.SPECS[n]) for n, r in kept.items()})
 
 
 def dq_duplicate_emails(spark: SparkSession, sf: str) -> DataFrame:

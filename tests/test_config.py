@@ -10,7 +10,6 @@ from tidemark.sizing import (
     estimated_bytes,
     fits_broadcast,
     parse_bytes,
-    spread_small,
 )
 from tidemark.sources.kafka import topic_options
 from tidemark.sources.tables import partition_options, snapshot_in_order
@@ -100,13 +99,6 @@ def test_sizes(spark):
     assert not fits_broadcast(spark.range(10**9))
 
 
-def test_only_small_inputs_are_spread(spark):
-    tiny, small, large = (spark.range(n, numPartitions=1) for n in (1000, 10**6, 10**9))
-    assert spread_small(tiny, "id") is tiny
-    assert spread_small(large, "id") is large
-    assert "REPARTITION_BY_NUM" in spread_small(small, "id")._jdf.queryExecution().executedPlan().toString()
-
-
 def test_run_folders_are_new_and_shared(spark):
     folder = shared_folder(spark)
     assert new_run_folder(spark, "x").startswith(folder)

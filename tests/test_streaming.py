@@ -155,7 +155,7 @@ def test_status_and_stop(spark, tmp_path):
     assert runs["orders"].changelog.changes().count() == 1
 
 
-@pytest.mark.parametrize("compact_every", [None, 2])
+@pytest.mark.parametrize("compact_every", [None, 1, 2])
 def test_streamed_daily_sales_equal_the_batch_view(spark, small, tmp_path, compact_every):
     folder = str(tmp_path / "topic")
     rows = fixtures.topic(spark, small, "orders").repartition(3, "offset")

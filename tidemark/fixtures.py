@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import email_from_name, encode_decimal, micros_of
 from tidemark.schemas import CUSTOMERS, ORDERS, PRODUCTS, TOPIC_ROW, TableSpec
-from tidemark.sizing import spread_small
 
 _HOUR_US = 3_600_000_000
 
@@ -32,9 +31,7 @@ def _registered(key: str) -> Column:
 
 def _all_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order changes with the values deletes had, and their operation."""
-    lines = spread_small(
-        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey"
-    )
+    lines = table(spark, sf_dir, "lineitem")
     heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     deleted = (F.col("l_partkey") % 7 == 0) | (F.col("o_custkey") % 11 == 0)
@@ -55,7 +52,7 @@ def _all_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(micros_of(F.col("l_shipdate")) / 1000).cast("bigint").alias("_version"),
         op.alias("op"),
         F.lit(0).alias("partition"),
-        (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("offset"),
+        (F.col("l_partkey") * 1000000000 + F.col("l_suppkey")).alias("offset"),
     )
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.sizing import fits_broadcast
-
 # Newest last: a change is ordered by version, then by its place in the topic.
 POSITION = ("_version", "partition", "offset")
 
@@ -67,14 +65,11 @@ def merge_changes(
 ) -> DataFrame:
     """Fold change rows into a state; equals ``latest_versions`` of everything.
 
-    Changes below Spark's broadcast limit go over the state without shuffling
-    it; larger ones are merged by one shuffle of both. With ``shown``, unchanged
-    rows outside that part of the state may be missing from the result.
+    With ``shown``, exactly the unchanged rows of that part of the state and the
+    changed rows are returned. The rows do not depend on sizes: Spark broadcasts
+    the changes if it finds them small, and shuffles both sides if not.
     """
-    newest = latest_versions(changes, key)
-    if fits_broadcast(changes):
-        return overlay(state, newest, key, shown)
-    return latest_versions(state.unionByName(newest), key)
+    return overlay(state, latest_versions(changes, key), key, shown)
 
 
 def expire_tombstones(state: DataFrame, before_version: int) -> DataFrame:

@@ -12,8 +12,7 @@ is part of the path because batch numbers restart with a new checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from datetime import date
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,7 +132,7 @@ class ChangeLog:
         return number, {r["ckpt"]: r["through_batch"] for r in rows}
 
     def _generation(
-        self, number: int, since: AsOf = None, months: Sequence[int] | None = None
+        self, number: int, since: AsOf = None
     ) -> DataFrame:
         if self._open[0] != number:
             # A generation in the manifest never changes: its files are listed once.
@@ -147,8 +146,6 @@ class ChangeLog:
             bound = as_of_micros(since)
             rows = rows.filter(F.col("month") >= month_of(bound))
             rows = rows.filter(F.col(self.spec.event_time) >= bound)
-        if months is not None:
-            rows = rows.filter(F.col("month").isin(*months))
         return rows.select(*self._flat.fieldNames())
 
     def state(self, through: Batches | None = None, others: bool = False) -> DataFrame:
@@ -163,25 +160,16 @@ class ChangeLog:
         return merge_changes(self._generation(number), tail, self.spec.key)
 
     def live_on(
-        self, days: Sequence[date], through: Batches | None = None, others: bool = False
+        self, days: DataFrame, through: Batches | None = None, others: bool = False
     ) -> DataFrame:
-        """Live rows whose event time falls on the given days.
+        """Live rows whose event time falls on one of the days of column ``date``.
 
-        Of the newest generation, only the months of these days are read in
-        full width.
+        A NULL day stands for the rows without an event time.
         """
-        number, folded = self.folded()
-        tail = self.changes(folded, through, others)
-        if number:
-            months = sorted({d.year * 100 + d.month for d in days})
-            part = self._generation(number, months=months)
-            rows = merge_changes(self._generation(number), tail, self.spec.key, shown=part)
-        else:
-            rows = latest_versions(tail, self.spec.key)
-        # Bounded by the calendar.
-        listed = F.broadcast(self.spark.createDataFrame([(d,) for d in days], "_day date"))
-        on = live(rows).withColumn("_day", day_of(F.col(self.spec.event_time)))
-        return on.join(listed, "_day", "left_semi").drop("_day")
+        own = day_of(F.col(self.spec.event_time))
+        rows = live(self.state(through, others))
+        listed = days.select(F.col("date").alias("_day"))
+        return rows.join(listed, own.eqNullSafe(F.col("_day")), "left_semi")
 
     def current(self) -> DataFrame:
         """Live rows."""

@@ -27,19 +27,5 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
-def spread_small(df: DataFrame, *columns: str, below: int = 1 << 30) -> DataFrame:
-    """Hash a small input over the cores, a megabyte or more to each.
-
-    A file of one row group is read by one task, however many cores wait for
-    its rows to be parsed. Larger inputs come in enough splits by themselves
-    and are returned as they are.
-    """
-    size = estimated_bytes(df)
-    pieces = min(df.sparkSession.sparkContext.defaultParallelism, size >> 20)
-    if size >= below or pieces < 2:
-        return df
-    return df.repartition(pieces, *columns)
-
-
 def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)

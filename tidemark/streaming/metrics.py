@@ -57,16 +57,14 @@ def metrics_writer(
     ``compact_every`` bounds how many batches are merged on read, and
     ``drop_folded`` how many batch folders there are to list.
     """
-    spark = changelog.spark
-
     def write(batch: DataFrame, batch_id: int) -> None:
         changelog.write_batch(batch, batch_id, ckpt)
         before = changelog.state(through={ckpt: batch_id - 1}, others=True)
-        # Bounded by the calendar: one row per day, however many orders changed.
-        days = affected_days(before, changelog.batch(batch_id, ckpt)).collect()
-        listed = spark.createDataFrame(days, "date date")
-        orders = changelog.live_on([r["date"] for r in days], {ckpt: batch_id}, others=True)
-        fresh = listed.join(F.broadcast(daily_sales(orders)), "date", "left")
+        # Stays in the plan: times come from the wire, so days are not bounded.
+        days = affected_days(before, changelog.batch(batch_id, ckpt))
+        orders = changelog.live_on(days, {ckpt: batch_id}, others=True)
+        sales = daily_sales(orders).withColumnRenamed("date", "_date")
+        fresh = days.join(sales, F.col("date").eqNullSafe(F.col("_date")), "left")
         (
             fresh.fillna(0, ["total_orders", "total_items_sold"])
             .select(*[f.name for f in _SCHEMA.fields if f.name not in ("ckpt", "batch_id")])
@@ -74,8 +72,9 @@ def metrics_writer(
             .option("partitionOverwriteMode", "static")
             .parquet(f"{metrics_path}/ckpt={ckpt}/batch_id={batch_id}")
         )
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            changelog.compact(through={ckpt: batch_id})
+        # not this batch: a replay of it has to see the state before it
+        if compact_every and batch_id and (batch_id + 1) % compact_every == 0:
+            changelog.compact(through={ckpt: batch_id - 1})
             if drop_folded:
                 changelog.drop_folded()
 
