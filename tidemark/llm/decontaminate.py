@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import slices
+from tidemark.llm.batches import bound_batches, slices
 
 WINDOW = 10
 #: Text of benchmark items that one pass over the documents searches for. Larger
@@ -217,6 +217,7 @@ def _pass_over(
     If ``cutting``, the text is returned without the spans.
     """
     names = rows.columns
+    bound_batches(rows.sparkSession)
     handed = rows.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
