@@ -174,3 +174,11 @@ def test_rebuilding_and_rolling_agree(spark, tmp_path):
     for day in (2, 3):
         roll_yesterday(orders, str(tmp_path / "b"), datetime(1970, 1, day))
     assert bag(read_rollup(spark, str(tmp_path / "a"))) == bag(read_rollup(spark, str(tmp_path / "b")))
+
+
+def test_a_batch_is_read_from_its_own_folder(spark, changelog):
+    changelog.write_batch(batch(spark, change(1, 1)), 0)
+    changelog.write_batch(batch(spark, change(2, 1)), 1)
+    found = changelog.batch(1)
+    assert [r["id"] for r in found.collect()] == [2]
+    assert all("batch_id=1/" in f for f in found.inputFiles())

@@ -33,10 +33,20 @@ def test_environment():
             "SPARK_SHUFFLE_PARTITIONS": "400",
             "CHECKPOINT_LOCATION": "/shared/ckpt/",
             "CLICKHOUSE_PASSWORD": "secret",
+            "STARTING_OFFSETS": "latest",
+            "MAX_OFFSETS_PER_TRIGGER": "5000",
+            "MIN_PARTITIONS": "16",
+            "CHECKPOINT_VERSION": "3",
+            "LONG_IDS": "true",
+            "CHANGE_SINK": "jdbc",
         }
     )
     assert (config.bootstrap_servers, config.debug, config.shuffle_partitions) == ("a:1,b:2", True, 400)
-    assert config.checkpoint_for("orders", "/elsewhere") == "/shared/ckpt/orders/v1"
+    assert config.checkpoint_for("orders", "/elsewhere") == "/shared/ckpt/orders/v3"
+    assert topic_options(config, ["a"])["startingOffsets"] == "latest"
+    assert (config.max_offsets_per_trigger, config.min_partitions) == (5000, 16)
+    assert config.validate().sink == "jdbc"
+    assert config.spec("orders").record["id"].dataType.simpleString() == "bigint"
     assert "secret" not in repr(config)
     assert config.jdbc.options()["password"] == "secret"
 
@@ -49,6 +59,8 @@ def test_environment():
         {"jdbc": JdbcTarget(url="", driver="d")},
         {"topics": {"carts": "pg.public.carts"}},
         {"checkpoint_version": 0},
+        {"sink": "file"},
+        {"sink": "jdbc"},
     ],
 )
 def test_validation(broken):
@@ -60,7 +72,9 @@ def test_unknown_table():
     with pytest.raises(ValueError, match="carts"):
         PipelineConfig().spec("carts")
     with pytest.raises(SystemExit):
-        main(["--table", "carts"])
+        main(["--table", "carts", "--root", "/shared/shop"])
+    with pytest.raises(SystemExit):
+        main(["--table", "orders"])
     with pytest.raises(ValueError):
         jdbc_writer(PipelineConfig(), "orders_cdc")
 

@@ -4,7 +4,7 @@ import pytest
 from rows import bag, envelope, message, order, topic
 
 from tidemark import fixtures
-from tidemark.config import PipelineConfig
+from tidemark.config import JdbcTarget, PipelineConfig
 from tidemark.functions.times import MICROS_PER_DAY
 from tidemark.operators.changes import valid_changes
 from tidemark.operators.state import current_rows, latest_versions
@@ -129,6 +129,37 @@ def test_all_tables_in_one_session(spark, small, tmp_path):
         assert (tmp_path / "root" / "checkpoints" / name / "v1" / "commits").exists()
 
 
+def test_wide_ids_pass_the_runner_if_asked_for(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    wide = 3_000_000_001
+    put(spark, folder, message(envelope("c", order(wide)), key=f'{{"id": {wide}}}'))
+    for long_ids, found in ((True, [wide]), (False, [])):
+        sources = {"orders": read_topic_folder_stream(spark, folder)}
+        config = replace(CONFIG, long_ids=long_ids)
+        runs = run_tables(spark, sources, str(tmp_path / str(long_ids)), config, available_now=True)
+        finish(runs)
+        assert [r["id"] for r in runs["orders"].changelog.current().collect()] == found
+
+
+def test_jdbc_sink_gets_the_valid_changes(spark, tmp_path, monkeypatch):
+    """The writer is replaced: no database is at hand."""
+    written = []
+
+    def keep(rows, target, table):
+        written.append((target.url, table, rows.columns, [r["id"] for r in rows.collect()]))
+
+    monkeypatch.setattr("tidemark.streaming.jobs.write_table", keep)
+    folder = str(tmp_path / "topic")
+    put(spark, folder, created(1, 1), message("x", offset=2))
+    sources = {"orders": read_topic_folder_stream(spark, folder)}
+    config = replace(CONFIG, sink="jdbc", jdbc=JdbcTarget(url="jdbc:x:y", driver="d"))
+    runs = run_tables(spark, sources, str(tmp_path / "root"), config, available_now=True)
+    finish(runs)
+    columns = [*ORDERS.columns, "_version", "_deleted"]
+    assert written == [("jdbc:x:y", "orders_cdc", ["id", *columns], [1])]
+    assert runs["orders"].changelog is None
+
+
 def test_debug_rows_reach_the_sink(spark, tmp_path):
     folder = str(tmp_path / "topic")
     put(spark, folder, created(1, 1), message("x", offset=2))

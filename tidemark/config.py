@@ -28,6 +28,7 @@ class JdbcTarget:
         }
 
 
+# The names and defaults that deployments of the original already set.
 def clickhouse_target(env: Mapping[str, str]) -> JdbcTarget:
     host = env.get("CLICKHOUSE_HOST", "clickhouse")
     port = int(env.get("CLICKHOUSE_PORT", "8123"))
@@ -56,22 +57,36 @@ class PipelineConfig:
     checkpoint_version: int = 1
     trigger_interval: str = "10 seconds"
     debug: bool = False
+    long_ids: bool = False
+    sink: str = "log"
     jdbc: JdbcTarget | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> PipelineConfig:
         env = os.environ if env is None else env
         base = cls(jdbc=clickhouse_target(env))
-        width = env.get("SPARK_SHUFFLE_PARTITIONS")
+
+        def number(name: str, default: int | None = None) -> int | None:
+            return int(env[name]) if env.get(name) else default
+
+        def switch(name: str) -> bool:
+            return env.get(name, "false").strip().lower() == "true"
+
         return replace(
             base,
             bootstrap_servers=env.get("KAFKA_SERVERS", base.bootstrap_servers),
             app_name=env.get("SPARK_APP_NAME", base.app_name),
             master=env.get("SPARK_MASTER"),
-            shuffle_partitions=int(width) if width else None,
+            shuffle_partitions=number("SPARK_SHUFFLE_PARTITIONS"),
+            starting_offsets=env.get("STARTING_OFFSETS", base.starting_offsets),
+            max_offsets_per_trigger=number("MAX_OFFSETS_PER_TRIGGER"),
+            min_partitions=number("MIN_PARTITIONS"),
             checkpoint_location=env.get("CHECKPOINT_LOCATION"),
+            checkpoint_version=number("CHECKPOINT_VERSION", base.checkpoint_version),
             trigger_interval=env.get("TRIGGER_INTERVAL", base.trigger_interval),
-            debug=env.get("DEBUG_MODE", "false").strip().lower() == "true",
+            debug=switch("DEBUG_MODE"),
+            long_ids=switch("LONG_IDS"),
+            sink=env.get("CHANGE_SINK", base.sink),
         )
 
     def validate(self) -> PipelineConfig:
@@ -85,6 +100,10 @@ class PipelineConfig:
         unknown = set(self.topics) - set(TABLES)
         if unknown:
             raise ValueError(f"topics for unknown tables: {sorted(unknown)}")
+        if self.sink not in ("log", "jdbc"):
+            raise ValueError(f"sink {self.sink!r} is neither 'log' nor 'jdbc'")
+        if self.sink == "jdbc" and self.jdbc is None:
+            raise ValueError("no JDBC target given")
         if self.checkpoint_version < 1:
             raise ValueError("checkpoint versions start at 1")
         return self
@@ -92,7 +111,8 @@ class PipelineConfig:
     def spec(self, table: str) -> TableSpec:
         if table not in self.topics:
             raise ValueError(f"unknown table {table!r}; known: {sorted(self.topics)}")
-        return TABLES[table].on_topic(self.topics[table])
+        spec = TABLES[table].with_long_ids() if self.long_ids else TABLES[table]
+        return spec.on_topic(self.topics[table])
 
     def checkpoint_for(self, table: str, root: str) -> str:
         """``<root>/<table>/v<N>``: one rule for every table."""

@@ -99,12 +99,10 @@ class ChangeLog:
         )
 
     def batch(self, batch_id: int, ckpt: int = 1) -> DataFrame:
-        return (
-            self._log()
-            .filter((F.col("valid") == 1) & (F.col("ckpt") == ckpt))
-            .filter(F.col("batch_id") == batch_id)
-            .select(*self._flat.fieldNames())
-        )
+        """Valid changes of one written batch; only its own folder is listed."""
+        folder = f"{self.root}/log/ckpt={ckpt}/batch_id={batch_id}"
+        reader = self.spark.read.schema(self._log_schema).option("basePath", f"{self.root}/log")
+        return reader.parquet(folder).filter(F.col("valid") == 1).select(*self._flat.fieldNames())
 
     def quarantine(self) -> DataFrame:
         return (

@@ -98,7 +98,7 @@ def _trigger(writer, config: PipelineConfig, available_now: bool):
 
 @dataclass(frozen=True)
 class TableRun:
-    """A started table: its query and, outside debug mode, its change log."""
+    """A started table: its query and, if it writes one, its change log."""
 
     query: StreamingQuery
     changelog: ChangeLog | None
@@ -111,7 +111,11 @@ def run_tables(
     config: PipelineConfig,
     available_now: bool = False,
 ) -> dict[str, TableRun]:
-    """Start one query per table in this session; ``sources`` are streams of topic rows."""
+    """Start one query per table in this session; ``sources`` are streams of topic rows.
+
+    ``config.sink`` decides whether changes go to change logs below ``root`` or to
+    the JDBC tables ``<table>_cdc``.
+    """
     config.validate()
     runs = {}
     for table, rows in sources.items():
@@ -119,11 +123,15 @@ def run_tables(
         if config.debug:
             runs[table] = TableRun(start_debug(rows, spec, config, available_now=available_now), None)
             continue
-        changelog = ChangeLog(spark, f"{root}/{table}", spec)
+        if config.sink == "jdbc":
+            changelog, write = None, jdbc_writer(config, f"{table}_cdc")
+        else:
+            changelog = ChangeLog(spark, f"{root}/{table}", spec)
+            write = log_writer(changelog, config.checkpoint_version)
         query = start_table(
             rows,
             spec,
-            log_writer(changelog, config.checkpoint_version),
+            write,
             config.checkpoint_for(table, f"{root}/checkpoints"),
             config,
             available_now,
