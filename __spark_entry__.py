@@ -30,7 +30,7 @@ from tidemark.plans import customers, health, products, quality, sales
 from tidemark.session import new_run_folder
 from tidemark.sinks.changelog import ChangeLog
 from tidemark.sinks.rollup import read_rollup, rebuild_rollup, roll_yesterday
-from tidemark.sources.kafka import read_topic_folder_stream
+from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
 from tidemark.sources.tables import snapshot_in_order
 from tidemark.streaming.jobs import finish, log_writer, run_tables, start_table
 from tidemark.streaming.metrics import metrics_writer, read_daily_sales
@@ -91,7 +91,10 @@ def _shown(rows: DataFrame, *times: str) -> DataFrame:
 
 
 def cdc_decode_orders(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = decode(fixtures.topic(spark, sf, "orders"), fixtures.WIDE_ORDERS)
+    """The topic written to a folder, read back as a batch and decoded in full."""
+    folder = new_run_folder(spark, "topic-orders")
+    fixtures.topic(spark, sf, "orders").write.parquet(folder)
+    parsed = decode(read_topic_folder(spark, folder), fixtures.WIDE_ORDERS)
     value = F.col("value_json")
     return parsed.select(
         "topic",
@@ -183,7 +186,10 @@ def current_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_merge_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """An initial snapshot of the whole table, then the live changes over it."""
+    """An initial snapshot of the whole table, then the live changes over it.
+
+    One market segment has not changed since, so its snapshot rows survive.
+    """
     table = fixtures.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name"),
@@ -191,7 +197,11 @@ def snapshot_merge_customers(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("created_at"),
     )
     taken = change_ops.snapshot_changes(table, fixtures.WIDE_CUSTOMERS, taken_at_ms=0)
-    log = taken.unionByName(fixtures.changes(spark, sf, "customers"))
+    still = fixtures.table(spark, sf, "customer").filter("c_mktsegment = 'FURNITURE'")
+    later = fixtures.changes(spark, sf, "customers").join(
+        still.select(F.col("c_custkey").alias("id")), "id", "left_anti"
+    )
+    log = taken.unionByName(later)
     columns = ("id", "name", "email", "created_at")
     return _shown(current_rows(log).select(*columns), "created_at")
 
@@ -259,15 +269,27 @@ def stream_orders_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_all_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """All three tables at once; live rows per table afterwards."""
+    """All three tables at once, with 64-bit ids; the live rows of each afterwards."""
     root = new_run_folder(spark, "stream-all")
     sources = {
         n: _staged_stream(spark, fixtures.topic(spark, sf, n), f"{root}/topics/{n}")
         for n in ("customers", "products", "orders")
     }
-    runs = run_tables(spark, sources, root, PipelineConfig(), available_now=True)
+    runs = run_tables(spark, sources, root, PipelineConfig(long_ids=True), available_now=True)
     finish(runs)
-    return health.table_counts({n: run.changelog.current() for n, run in runs.items()})
+    details = {
+        "customers": ("created_at", F.col("name")),
+        "products": ("created_at", F.col("price").cast("string")),
+        "orders": ("order_time", F.concat_ws(" ", "customer_id", "product_id", "quantity")),
+    }
+    return events.all_topics(
+        *(
+            runs[n].changelog.current().select(
+                F.lit(n).alias("table_name"), "id", F.col(at).alias("event_us"), detail.alias("detail")
+            )
+            for n, (at, detail) in details.items()
+        )
+    )
 
 
 def stream_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,7 +410,13 @@ def event_preview_topics(spark: SparkSession, sf: str) -> DataFrame:
         limit=10,
         as_of=FRESHNESS_CLOCK,
         topics=["pg.public.customers", "pg.public.products"],
-    ).drop("value")
+    )
+
+
+def event_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message whose operation is an update."""
+    rows = events.of_operation(_topics(spark, sf), "u")
+    return rows.select("topic", "partition", "offset", utf8_text(F.col("key")).alias("key"))
 
 
 def event_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -534,6 +562,7 @@ _QUERIES: dict[str, Query] = {
     "table_counts": table_counts,
     "event_preview": event_preview,
     "event_preview_topics": event_preview_topics,
+    "event_updates": event_updates,
     "event_summary": event_summary,
     "event_counts_by_table": event_counts_by_table,
     "event_counts_by_op": event_counts_by_op,
