@@ -3,9 +3,11 @@
 import hashlib
 import re
 
+import pyarrow as pa
 import pytest
 from compare import connect, mismatch
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import corpus_pipeline
 from tidemark.llm import (
@@ -21,6 +23,7 @@ from tidemark.llm import (
     url_rules,
     warc,
 )
+from tidemark.llm.batches import BATCH_BYTES, bound_batches, map_texts
 
 PATH = entries.public_tokenizers.path(entries.RANKS)
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ids string, __text string"
@@ -231,3 +234,21 @@ def test_native_operators_run_no_python(spark, small):
     for key in ("op3_url_rules", "op6_line_dedup"):
         plan = entries.QUERIES[key](spark, small)._jdf.queryExecution().toString()
         assert not re.search("Python|Arrow|Pandas|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+def test_batches_of_texts_are_bounded_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        texts = spark.range(40, numPartitions=1).select(F.col("id"), F.repeat(F.lit("x"), 1 << 20).alias("text"))
+        seen = map_texts(texts, ["id"], "text", [("n", T.LongType())], lambda t: [pa.array([len(t)] * len(t))], 1 << 40)
+        found = [r.n for r in seen.collect()]
+        assert len(found) == 40 and max(found) <= BATCH_BYTES // (1 << 20) + 1
+        spark.conf.set(key, "1m")
+        bound_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+        if before:
+            spark.conf.set(key, before)
