@@ -123,6 +123,7 @@ def _record(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in columns.items()])
 
 
+# Topic, table and column names and wire types are those of the sources.
 CUSTOMERS = TableSpec(
     name="customers",
     topic="pg.public.customers",
