@@ -182,3 +182,85 @@ def test_a_batch_is_read_from_its_own_folder(spark, changelog):
     found = changelog.batch(1)
     assert [r["id"] for r in found.collect()] == [2]
     assert all("batch_id=1/" in f for f in found.inputFiles())
+
+
+def test_the_tail_is_read_from_its_own_folders(spark, changelog):
+    for n, rows in enumerate(HISTORY):
+        changelog.write_batch(batch(spark, *rows), n)
+    tail = changelog.changes(after={1: 1})
+    assert sorted(r["id"] for r in tail.collect()) == [1, 2]
+    assert all("batch_id=2/" in f for f in tail.inputFiles())
+    assert changelog.changes(after={1: 2}).count() == 0
+    assert changelog.changes(through={2: 5}).count() == 0
+    assert changelog.changes(through={2: 5}, others=True).count() == changelog.changes().count()
+
+
+def test_empty_batches_count_as_written(spark, changelog):
+    changelog.write_batch(batch(spark, change(1, 1)), 0)
+    changelog.write_batch(batch(spark), 1)
+    assert changelog.batches() == {1: 1}
+    assert changelog.batch(1).count() == 0
+    assert [r["id"] for r in changelog.current().collect()] == [1]
+
+
+DAY = MICROS_PER_DAY
+BEFORE = [
+    change(1, 10, order_time=0),  # moved to a recent day by the tail
+    change(2, 10, order_time=50 * DAY),  # moved to an old day by the tail
+    change(3, 30, order_time=0),  # newer than what the tail says of it
+    change(4, 10, order_time=51 * DAY),  # untouched
+    change(5, 10, order_time=52 * DAY),  # deleted by the tail
+    change(6, 10, order_time=1 * DAY),  # untouched and old
+    change(7, 10, order_time=None),  # without a time
+    change(8, 30, deleted=1),  # a tombstone newer than what the tail says
+]
+AFTER = [
+    change(1, 20, order_time=53 * DAY),
+    change(2, 20, order_time=2 * DAY),
+    change(3, 20, order_time=54 * DAY),
+    change(5, 20, deleted=1),
+    change(8, 20, order_time=55 * DAY),
+    change(9, 20, order_time=56 * DAY),
+    change(10, 20, order_time=3 * DAY),
+]
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_recent_rows_equal_a_filter_on_all_live_rows(spark, changelog, compacted):
+    changelog.write_batch(batch(spark, *BEFORE), 0)
+    changelog.write_batch(batch(spark, *AFTER), 1)
+    if compacted:
+        changelog.compact(through={1: 0})
+    recent = changelog.recent(datetime(1970, 2, 15))
+    assert sorted(r["id"] for r in recent.collect()) == [1, 4, 9]
+    assert bag(recent) == bag(changelog.current().filter(F.col("order_time") >= 45 * DAY))
+
+
+def test_recent_rows_read_other_months_for_positions_only(spark, changelog):
+    changelog.write_batch(batch(spark, *BEFORE), 0)
+    changelog.write_batch(batch(spark, *AFTER), 1)
+    changelog.compact(through={1: 0})
+    recent = changelog.recent(datetime(1970, 2, 15))
+    text = recent._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    kept = [line for line in scans if "month#" in line]
+    pruned = [line for line in kept if "isnotnull(month#" in line and ">=" in line]
+    assert len(pruned) == 1
+    assert all("quantity#" not in line for line in kept if line not in pruned)
+
+
+def test_maintenance_folds_drops_and_expires(spark, changelog):
+    for n in range(6):
+        changelog.write_batch(batch(spark, change(n, 10 + n), change(100, 10 + n, deleted=1)), n)
+        before = bag(changelog.current())
+        changelog.maintain(n, 1, every=2, drop_folded=True)
+        assert bag(changelog.current()) == before
+    assert changelog.folded() == (3, {1: 4})
+    # the generation before the newest holds batches up to 2
+    assert changelog._batch_folders() == [(1, 3), (1, 4), (1, 5)]
+    assert changelog.state().filter("id = 100").count() == 1
+    for n in (6, 7):
+        changelog.write_batch(batch(spark), n)
+    changelog.maintain(7, 1, every=2, drop_folded=True, keep_ms=1000)
+    assert changelog.state().filter("id = 100").count() == 0
+    assert changelog.current().count() == 6

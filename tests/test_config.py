@@ -39,6 +39,9 @@ def test_environment():
             "CHECKPOINT_VERSION": "3",
             "LONG_IDS": "true",
             "CHANGE_SINK": "jdbc",
+            "COMPACT_EVERY": "60",
+            "DROP_FOLDED": "true",
+            "TOMBSTONE_DAYS": "14",
         }
     )
     assert (config.bootstrap_servers, config.debug, config.shuffle_partitions) == ("a:1,b:2", True, 400)
@@ -46,6 +49,7 @@ def test_environment():
     assert topic_options(config, ["a"])["startingOffsets"] == "latest"
     assert (config.max_offsets_per_trigger, config.min_partitions) == (5000, 16)
     assert config.validate().sink == "jdbc"
+    assert (config.compact_every, config.drop_folded, config.tombstone_days) == (60, True, 14)
     assert config.spec("orders").record["id"].dataType.simpleString() == "bigint"
     assert "secret" not in repr(config)
     assert config.jdbc.options()["password"] == "secret"
@@ -56,6 +60,7 @@ def test_environment():
     [
         {"bootstrap_servers": ""},
         {"app_name": ""},
+        {"compact_every": 0},
         {"jdbc": JdbcTarget(url="", driver="d")},
         {"topics": {"carts": "pg.public.carts"}},
         {"checkpoint_version": 0},

@@ -141,6 +141,20 @@ def test_wide_ids_pass_the_runner_if_asked_for(spark, tmp_path):
         assert [r["id"] for r in runs["orders"].changelog.current().collect()] == found
 
 
+def test_the_runner_folds_its_logs(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    for n in range(4):
+        put(spark, folder, created(n, n))
+    source = read_topic_folder_stream(spark, folder, files_per_trigger=1)
+    config = replace(CONFIG, compact_every=2, drop_folded=True, tombstone_days=7)
+    runs = run_tables(spark, {"orders": source}, str(tmp_path / "root"), config, available_now=True)
+    finish(runs)
+    changelog = runs["orders"].changelog
+    number, folded = changelog.folded()
+    assert number == 2 and folded == {1: changelog.batches()[1] - 1}
+    assert changelog.current().count() == len({r["id"] for r in changelog.current().collect()}) > 0
+
+
 def test_jdbc_sink_gets_the_valid_changes(spark, tmp_path, monkeypatch):
     """The writer is replaced: no database is at hand."""
     written = []

@@ -21,6 +21,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--debug", action="store_true", help="print changes instead of logging them")
     parser.add_argument("--long-ids", action="store_true", help="ids are 64-bit on the wire")
     parser.add_argument("--sink", choices=["log", "jdbc"], help="where changes go")
+    parser.add_argument("--compact-every", type=int, help="fold the log after this many batches")
+    parser.add_argument("--drop-folded", action="store_true", help="delete folders no longer needed")
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO)
@@ -29,6 +31,10 @@ def main(argv: list[str] | None = None) -> None:
         config = replace(config, debug=True)
     if args.long_ids:
         config = replace(config, long_ids=True)
+    if args.compact_every is not None:
+        config = replace(config, compact_every=args.compact_every)
+    if args.drop_folded:
+        config = replace(config, drop_folded=True)
     if args.sink:
         config = replace(config, sink=args.sink)
     config.validate()

@@ -59,6 +59,9 @@ class PipelineConfig:
     debug: bool = False
     long_ids: bool = False
     sink: str = "log"
+    compact_every: int | None = None
+    drop_folded: bool = False
+    tombstone_days: int | None = None
     jdbc: JdbcTarget | None = None
 
     @classmethod
@@ -87,6 +90,9 @@ class PipelineConfig:
             debug=switch("DEBUG_MODE"),
             long_ids=switch("LONG_IDS"),
             sink=env.get("CHANGE_SINK", base.sink),
+            compact_every=number("COMPACT_EVERY"),
+            drop_folded=switch("DROP_FOLDED"),
+            tombstone_days=number("TOMBSTONE_DAYS"),
         )
 
     def validate(self) -> PipelineConfig:
@@ -104,6 +110,9 @@ class PipelineConfig:
             raise ValueError(f"sink {self.sink!r} is neither 'log' nor 'jdbc'")
         if self.sink == "jdbc" and self.jdbc is None:
             raise ValueError("no JDBC target given")
+        for name in ("compact_every", "tombstone_days"):
+            if getattr(self, name) is not None and getattr(self, name) < 1:
+                raise ValueError(f"{name} has to be 1 or more")
         if self.checkpoint_version < 1:
             raise ValueError("checkpoint versions start at 1")
         return self

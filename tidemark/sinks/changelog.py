@@ -12,17 +12,17 @@ is part of the path because batch numbers restart with a new checkpoint.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_of_micros, day_of, month_of
 from tidemark.functions.times import AsOf
 from tidemark.operators.changes import TOMBSTONE, emit_where
-from tidemark.operators.state import latest_versions, live, merge_changes
+from tidemark.operators.state import expire_tombstones, latest_versions, live, merge_changes
 from tidemark.schemas import TableSpec
 
 # Highest batch number of each checkpoint version.
@@ -91,18 +91,28 @@ class ChangeLog:
         With ``through``, checkpoint versions it does not name are left out
         unless ``others`` is set.
         """
-        return (
-            self._log()
-            .filter(F.col("valid") == 1)
-            .filter(_batch_range(after or {}, through, others))
-            .select(*self._flat.fieldNames())
-        )
+        bounds = (after or {}, through, others)
+        return self._valid([b for b in self._batch_folders() if _in_range(*b, *bounds)])
 
     def batch(self, batch_id: int, ckpt: int = 1) -> DataFrame:
-        """Valid changes of one written batch; only its own folder is listed."""
-        folder = f"{self.root}/log/ckpt={ckpt}/batch_id={batch_id}"
+        """Valid changes of one written batch."""
+        return self._valid([(ckpt, batch_id)])
+
+    def _valid(self, batches: list[tuple[int, int]]) -> DataFrame:
+        """Valid changes of the batches, whose folders alone are listed and sized."""
+        if not batches:
+            return self.spark.createDataFrame([], self._flat)
         reader = self.spark.read.schema(self._log_schema).option("basePath", f"{self.root}/log")
-        return reader.parquet(folder).filter(F.col("valid") == 1).select(*self._flat.fieldNames())
+        rows = reader.parquet(*(self._batch_folder(*b) for b in batches))
+        return rows.filter(F.col("valid") == 1).select(*self._flat.fieldNames())
+
+    def _batch_folder(self, ckpt: int, batch_id: int) -> str:
+        return f"{self.root}/log/ckpt={ckpt}/batch_id={batch_id}"
+
+    def _batch_folders(self) -> list[tuple[int, int]]:
+        """Checkpoint version and number of every batch, from folder names alone."""
+        versions = self._numbers("log", "ckpt")
+        return [(c, n) for c in versions for n in self._numbers(f"log/ckpt={c}", "batch_id")]
 
     def quarantine(self) -> DataFrame:
         return (
@@ -112,9 +122,8 @@ class ChangeLog:
         )
 
     def batches(self) -> dict[int, int]:
-        """Highest batch seen per checkpoint version (one row per version)."""
-        newest = self._log().groupBy("ckpt").agg(F.max("batch_id").alias("n"))
-        return {r["ckpt"]: r["n"] for r in newest.collect() if r["ckpt"] is not None}
+        """Highest batch written per checkpoint version, empty ones included."""
+        return dict(sorted(self._batch_folders()))
 
     # -- state -----------------------------------------------------------
 
@@ -173,6 +182,21 @@ class ChangeLog:
         """Live rows."""
         return live(self.state())
 
+    def recent(self, since: AsOf) -> DataFrame:
+        """Live rows at or after an event time, as a filter on ``current()`` gives them.
+
+        Of the generation the months from ``since`` on are read in full, the others
+        for the keys and positions only that decide whether a later batch wins.
+        """
+        number, folded = self.folded()
+        tail = self.changes(folded)
+        if number:
+            shown = self._generation(number, since)
+            rows = merge_changes(self._generation(number), tail, self.spec.key, shown)
+        else:
+            rows = latest_versions(tail, self.spec.key)
+        return live(rows).filter(F.col(self.spec.event_time) >= as_of_micros(since))
+
     def compacted(self, since: AsOf = None) -> DataFrame:
         """Live rows of the newest generation alone.
 
@@ -184,12 +208,13 @@ class ChangeLog:
             return self.spark.createDataFrame([], self._flat)
         return live(self._generation(number, since))
 
-    def compact(self, through: Batches | None = None) -> int:
+    def compact(self, through: Batches | None = None, expire_before: int | None = None) -> int:
         """Fold log batches into a new generation and return its number.
 
         Without bounds the newest batch of every checkpoint version is left
         out, because its writer may still be at work. Tombstones stay in the
-        state, so a late older change cannot bring a deleted key back. The
+        state, so a late older change cannot bring a deleted key back, unless
+        their version is below ``expire_before``, which no replay may reach. The
         manifest row is written last; until then readers keep the old
         generation.
         """
@@ -198,6 +223,8 @@ class ChangeLog:
             through = {ckpt: n - 1 for ckpt, n in self.batches().items()}
         reached = {**folded, **{c: max(n, folded.get(c, n)) for c, n in through.items()}}
         rows = self.state(through=reached)
+        if expire_before is not None:
+            rows = expire_tombstones(rows, expire_before)
         target = f"{self.root}/state/generation={number + 1}"
         if self.spec.event_time:
             # Rebalancing splits a month that holds too much for one task.
@@ -224,42 +251,50 @@ class ChangeLog:
         kept_from = newest - 1
         if kept_from < 1:
             return 0
-        held = self._manifest().filter(F.col("generation") == kept_from).withColumnRenamed(
-            "through_batch", "through"
-        )
-        gone = (
-            self._log()
-            .select("ckpt", "batch_id")
-            .distinct()
-            .join(held, "ckpt")
-            .filter(F.col("batch_id") <= F.col("through"))
-            .select("ckpt", "batch_id")
-        )
-        folders = [f"log/ckpt={r['ckpt']}/batch_id={r['batch_id']}" for r in gone.collect()]
-        folders += [f"state/generation={g}" for g in range(1, kept_from)]
-        return sum(self._delete(f"{self.root}/{folder}") for folder in folders)
+        held = {
+            r["ckpt"]: r["through_batch"]
+            for r in self._manifest().filter(F.col("generation") == kept_from).collect()
+        }
+        folders = [self._batch_folder(c, n) for c, n in self._batch_folders() if n <= held.get(c, -1)]
+        old = [g for g in self._numbers("state", "generation") if g < kept_from]
+        folders += [f"{self.root}/state/generation={g}" for g in old]
+        return sum(self._delete(folder) for folder in folders)
+
+    def maintain(
+        self, batch_id: int, ckpt: int, every: int | None, drop_folded: bool, keep_ms: int | None = None
+    ) -> None:
+        """After a batch: every ``every`` batches, compact up to the one before.
+
+        Not the batch itself, as a replay of it has to see the state before it.
+        Tombstones older than ``keep_ms``, the longest a change may be late, expire.
+        """
+        if every and batch_id and (batch_id + 1) % every == 0:
+            oldest = None if keep_ms is None else time.time_ns() // 1_000_000 - keep_ms
+            self.compact({ckpt: batch_id - 1}, oldest)
+            if drop_folded:
+                self.drop_folded()
 
-    def _delete(self, folder: str) -> bool:
+    def _files(self, folder: str) -> tuple:
         context = self.spark.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def _batch_range(after: Batches, through: Batches | None, others: bool = False) -> Column:
-    """Batches beyond ``after`` and, if given, not beyond ``through``."""
-    everywhere = through is None or others
-    ckpt, batch = F.col("ckpt"), F.col("batch_id")
-    versions = set(after) | set(through or {})
-    named = []
-    for version in sorted(versions):
-        inside = ckpt == version
-        if version in after:
-            inside = inside & (batch > after[version])
-        if through is not None:
-            if version in through:
-                inside = inside & (batch <= through[version])
-            elif not others:
-                inside = F.lit(False)
-        named.append(inside)
-    rest = [~ckpt.isin(*versions) if versions else F.lit(True)] if everywhere else []
-    return reduce(Column.__or__, [*named, *rest], F.lit(False))
+        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+    def _numbers(self, folder: str, name: str) -> list[int]:
+        """The numbers of the sub-folders ``<name>=<number>``."""
+        files, path = self._files(f"{self.root}/{folder}")
+        found = files.listStatus(path) if files.exists(path) else []
+        parts = (status.getPath().getName().partition("=") for status in found)
+        return sorted(int(number) for key, _, number in parts if key == name)
+
+    def _delete(self, folder: str) -> bool:
+        files, path = self._files(folder)
+        return files.delete(path, True)
+
+
+def _in_range(ckpt: int, batch_id: int, after: Batches, through: Batches | None, others: bool) -> bool:
+    """Whether a batch is beyond ``after`` and, if given, not beyond ``through``."""
+    if ckpt in after and batch_id <= after[ckpt]:
+        return False
+    if through is None:
+        return True
+    return batch_id <= through[ckpt] if ckpt in through else others

@@ -25,11 +25,22 @@ log = logging.getLogger(__name__)
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def log_writer(changelog: ChangeLog, ckpt: int) -> BatchWriter:
-    """Writes each micro-batch to its own folder of the change log."""
+def log_writer(
+    changelog: ChangeLog,
+    ckpt: int,
+    compact_every: int | None = None,
+    drop_folded: bool = False,
+    tombstone_ms: int | None = None,
+) -> BatchWriter:
+    """Writes each micro-batch to its own folder of the change log.
+
+    Every ``compact_every`` batches the ones before are folded into the state, and
+    with ``drop_folded`` the folders that two compactions have made redundant go.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         changelog.write_batch(batch, batch_id, ckpt)
+        changelog.maintain(batch_id, ckpt, compact_every, drop_folded, tombstone_ms)
 
     return write
 
@@ -127,7 +138,13 @@ def run_tables(
             changelog, write = None, jdbc_writer(config, f"{table}_cdc")
         else:
             changelog = ChangeLog(spark, f"{root}/{table}", spec)
-            write = log_writer(changelog, config.checkpoint_version)
+            write = log_writer(
+                changelog,
+                config.checkpoint_version,
+                config.compact_every,
+                config.drop_folded,
+                config.tombstone_days and config.tombstone_days * 86_400_000,
+            )
         query = start_table(
             rows,
             spec,

@@ -72,11 +72,7 @@ def metrics_writer(
             .option("partitionOverwriteMode", "static")
             .parquet(f"{metrics_path}/ckpt={ckpt}/batch_id={batch_id}")
         )
-        # not this batch: a replay of it has to see the state before it
-        if compact_every and batch_id and (batch_id + 1) % compact_every == 0:
-            changelog.compact(through={ckpt: batch_id - 1})
-            if drop_folded:
-                changelog.drop_folded()
+        changelog.maintain(batch_id, ckpt, compact_every, drop_folded)
 
     return write
 
