@@ -22,6 +22,7 @@ from tidemark.functions import (
     utc_timestamp,
     utf8_text,
 )
+from tidemark.functions.times import MICROS_PER_DAY, day_start
 from tidemark.operators import changes as change_ops
 from tidemark.operators import events, joins, ranking
 from tidemark.operators.decode import decode
@@ -225,8 +226,8 @@ def merge_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _order_state(merge_changes(state, rows.filter(F.col("_version") > middle)))
 
 
-def compact_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Three log batches, compacted after the second; the state of all three."""
+def _kept_orders(spark: SparkSession, sf: str) -> ChangeLog:
+    """Three log batches, compacted after the second."""
     root = new_run_folder(spark, "compact")
     changelog = ChangeLog(spark, f"{root}/orders", fixtures.WIDE_ORDERS)
     no_fault = {c: F.lit(None).cast("string") for c in ("reason", "key_text", "value_text")}
@@ -238,7 +239,18 @@ def compact_orders(spark: SparkSession, sf: str) -> DataFrame:
         changelog.write_batch(staged.filter(F.col("part") == batch_id), batch_id)
         if batch_id == 1:
             changelog.compact(through={1: 1})
-    return _order_state(changelog.state())
+    return changelog
+
+
+def compact_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The state of all three batches: that of two, and the third laid over it."""
+    return _order_state(_kept_orders(spark, sf).state())
+
+
+def _pinned_clock(changelog: ChangeLog):
+    """Time of the newest live order, one number, as a literal that prunes months."""
+    newest = changelog.current().agg(F.max("order_time")).first()[0]
+    return F.lit(newest).cast("bigint")
 
 
 # -- streams --------------------------------------------------------------
@@ -330,6 +342,20 @@ def hourly_orders(spark: SparkSession, sf: str) -> DataFrame:
     return sales.hourly_orders(orders, _order_clock(orders))
 
 
+def daily_sales_30d_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The last 30 days from the kept state's months and the batches after it."""
+    changelog = _kept_orders(spark, sf)
+    clock = _pinned_clock(changelog)
+    recent = changelog.recent(day_start(clock) - 30 * MICROS_PER_DAY)
+    return sales.daily_sales_since(recent, clock)
+
+
+def hourly_orders_kept(spark: SparkSession, sf: str) -> DataFrame:
+    changelog = _kept_orders(spark, sf)
+    clock = _pinned_clock(changelog)
+    return sales.hourly_orders(changelog.recent(clock - MICROS_PER_DAY), clock)
+
+
 def hourly_panel(spark: SparkSession, sf: str) -> DataFrame:
     orders = _orders(spark, sf)
     return sales.hourly_panel(orders, _order_clock(orders))
@@ -385,10 +411,18 @@ def record_counts_panel(spark: SparkSession, sf: str) -> DataFrame:
 def recent_activity_24h(spark: SparkSession, sf: str) -> DataFrame:
     """The view as its label reads: only rows of the 24 hours before the newest order."""
     t = _live_tables(spark, sf)
-    since = _order_clock(t["orders"]) - 86_400_000_000
+    since = _order_clock(t["orders"]) - MICROS_PER_DAY
     return health.recent_activity(t["orders"], t["customers"], t["products"], since)
 
 
+def recent_activity_24h_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The last 24 hours, orders from the kept state."""
+    changelog = _kept_orders(spark, sf)
+    since = _pinned_clock(changelog) - MICROS_PER_DAY
+    orders = changelog.recent(since)
+    return health.recent_activity(orders, _customers(spark, sf), _products(spark, sf), since)
+
+
 def data_freshness(spark: SparkSession, sf: str) -> DataFrame:
     return health.data_freshness(_logs(spark, sf), FRESHNESS_CLOCK)
 
@@ -413,6 +447,12 @@ def event_preview_topics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def event_poll(spark: SparkSession, sf: str) -> DataFrame:
+    """The last ten messages of every partition of the change topics."""
+    rows = events.newest_per_partition(_topics(spark, sf), 10)
+    return rows.select("topic", "partition", "offset", utf8_text(F.col("key")).alias("key"))
+
+
 def event_updates(spark: SparkSession, sf: str) -> DataFrame:
     """Every message whose operation is an update."""
     rows = events.of_operation(_topics(spark, sf), "u")
@@ -540,8 +580,10 @@ _QUERIES: dict[str, Query] = {
     "stream_daily_sales": stream_daily_sales,
     "daily_sales": daily_sales,
     "daily_sales_30d": daily_sales_30d,
+    "daily_sales_30d_kept": daily_sales_30d_kept,
     "monthly_sales": monthly_sales,
     "hourly_orders": hourly_orders,
+    "hourly_orders_kept": hourly_orders_kept,
     "hourly_panel": hourly_panel,
     "daily_rollup": daily_rollup,
     "daily_rollup_read": daily_rollup_read,
@@ -557,11 +599,13 @@ _QUERIES: dict[str, Query] = {
     "top_products_10": lambda s, d: products.top_products_panel(product_performance(s, d)),
     "recent_activity": recent_activity,
     "recent_activity_24h": recent_activity_24h,
+    "recent_activity_24h_kept": recent_activity_24h_kept,
     "record_counts_panel": record_counts_panel,
     "data_freshness": data_freshness,
     "table_counts": table_counts,
     "event_preview": event_preview,
     "event_preview_topics": event_preview_topics,
+    "event_poll": event_poll,
     "event_updates": event_updates,
     "event_summary": event_summary,
     "event_counts_by_table": event_counts_by_table,

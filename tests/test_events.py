@@ -43,6 +43,17 @@ def test_preview_of_the_last_minutes_and_of_topics(spark):
     assert [r["age"] for r in only.collect()] == ["1m ago"]
 
 
+def test_the_last_messages_of_each_partition(spark):
+    busy = [("pg.public.orders", n, n, "c") for n in range(20)]
+    got = events.newest_per_partition(rows(spark, *busy, *SPECS[2:]), 3).collect()
+    assert sorted((r["topic"], r["offset"]) for r in got) == [
+        ("pg.public.customers", 1),
+        *(("pg.public.orders", n) for n in (17, 18, 19)),
+        ("pg.public.products", 1),
+    ]
+    assert events.newest_per_partition(rows(spark)).count() == 0
+
+
 def test_summary_and_counts(spark):
     df = rows(spark, *SPECS)
     got = events.summary(df).first()

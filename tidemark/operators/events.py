@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
@@ -60,6 +60,19 @@ def preview(
     )
 
 
+def newest_per_partition(rows: DataFrame, limit: int = 10) -> DataFrame:
+    """The last ``limit`` messages of every partition of every topic.
+
+    Rows that share an offset are ordered by time and key. Spark cuts every map task's output to ``limit`` rows a partition before the
+    shuffle, so a busy partition costs no more there than any other.
+    """
+    newest_first = Window.partitionBy("topic", "partition").orderBy(
+        *(F.col(c).desc() for c in ("offset", "timestamp", "key"))
+    )
+    ranked = rows.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.filter(F.col("_rank") <= limit).drop("_rank")
+
+
 def summary(rows: DataFrame) -> DataFrame:
     """Number of messages, time of the newest, number of topics seen."""
     return rows.agg(
