@@ -101,7 +101,8 @@ def test_large_buckets_are_split(spark):
 
 def test_url_rules_on_odd_rows(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.org/es/x?y://z", "x://org", "x://a.org./", "x://aorg/",
-            "x://example.org/en/12#f", "x://www.example.com/de/", "x://com/fr/", "x://org/" + "a" * 50_000]
+            "x://example.org/en/12#f", "x://www.example.com/de/", "x://com/fr/", "x://org/" + "a" * 50_000,
+            "x://" + "a." * 50_000 + "example.org/es/"]
     pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls * 2)], "page_id long, url string, key string")
     rules = url_rules.rule_table(spark, [*url_rules.RULES, ("block", "org", "/"), (None, "net", "/")])
     rows = url_rules.judge(pages, rules, ["page_id"], salts=3).collect()
@@ -111,6 +112,7 @@ def test_url_rules_on_odd_rows(spark):
     assert [got[i] for i in range(len(urls))] == [
         none, none, none, none, ("example.org/es/", "block"), none, none, none,
         ("example.org/en/1", "block"), ("com/de/", "block"), ("com/fr/", "allow"), ("org/", "block"),
+        ("example.org/es/", "block"),
     ]
     assert url_rules.judge(pages.limit(0), rules, ["page_id"]).count() == 0
     assert {r.verdict for r in url_rules.judge(pages, rules.limit(0), ["page_id"]).collect()} == {"allow"}

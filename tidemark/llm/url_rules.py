@@ -91,13 +91,17 @@ def judge(
         path_of(url).alias("path"),
     )
     stacks = _stacks(rules)
-    ends = F.transform(F.sequence(F.lit(1), F.size("labels")), lambda n: F.slice("labels", 1, n))
     roots = stacks.select(F.substring_index("key", "/", 1).alias("root")).distinct()
+    # a host has as many ancestors as labels; those deeper than all rules fit none
+    deepest = roots.agg(F.max(F.size(F.split("root", "\\.", -1)))).scalar()
+    depth = F.least(F.size("labels"), F.coalesce(deepest, F.lit(1)))
+    ends = F.transform(F.sequence(F.lit(1), "depth"), lambda n: F.slice("labels", 1, n))
     keys = (
         parsed.select("host", "path")
         .filter("host != ''")
         .distinct()
         .withColumn("labels", _reversed("host"))
+        .withColumn("depth", depth)
         .select("host", "path", F.explode(ends).alias("ancestor"))
         .select("host", "path", F.array_join("ancestor", ".").alias("root"))
         .join(roots, "root")
