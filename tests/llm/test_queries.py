@@ -141,6 +141,15 @@ def test_lines_on_odd_rows(spark, odd, empty):
     assert line_dedup.without_recurring_lines(empty).count() == 0
 
 
+def test_a_long_passage_recurs_from_two_documents_on(spark):
+    passage = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(51))
+    short = passage.rsplit(" ", 1)[0]
+    texts = [f"one\n{passage}\n{short}", f"two\n{passage}\n{short}", "three"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in line_dedup.without_recurring_lines(docs).orderBy("doc_id").collect()]
+    assert got == [texts[0], f"two\n{short}", "three"]
+
+
 def test_edited_counts(odd, empty):
     edits = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(3).cast("long").alias("end"), F.lit("new ").alias("replacement")))
     docs = odd.withColumn("edits", F.when(F.col("doc_id") > 2, edits))

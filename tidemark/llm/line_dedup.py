@@ -17,6 +17,9 @@ from tidemark.session import new_run_folder
 
 #: Documents from which on a template recurs.
 MIN_DOCS = 3
+#: The same for lines of more than ``LONG_TOKENS`` tokens, which do not recur by chance.
+LONG_DOCS = 2
+LONG_TOKENS = 50
 #: Leading tokens that are levels of the tree, and may be variable one at a time.
 DEPTH = 3
 #: Tokens that a line needs for a variable leading token.
@@ -79,15 +82,22 @@ def _templates() -> Column:
 
 
 def recurring_lines(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    min_docs: int = MIN_DOCS,
+    long_docs: int | None = None,
 ) -> DataFrame:
     """``__id``, ``__text_hash`` and ``dropped``, the numbers of a document's lines to drop."""
     spark = docs.sparkSession
     folder = new_run_folder(spark, "lines")
+    needed = F.lit(min_docs)
+    if long_docs is not None:
+        needed = F.when(F.col("tokens") > LONG_TOKENS, long_docs).otherwise(min_docs)
     _parsed(docs, id_col, text).write.parquet(folder)
     lines = spark.read.parquet(folder)
     # all templates of a line agree in its leaf, so a leaf of few lines has none that recur
-    leaves = lines.groupBy(*_LEAF).count().filter(F.col("count") >= min_docs).drop("count")
+    leaves = lines.groupBy(*_LEAF).count().filter(F.col("count") >= needed).drop("count")
     found = (
         lines.join(leaves, _LEAF, "left_semi")
         .withColumn("template", _templates())
@@ -98,7 +108,7 @@ def recurring_lines(
         .distinct()
         .groupBy(*_TEMPLATE)
         .agg(F.count("*").alias("docs"), F.min(F.struct(*_LINE)).alias("first"))
-        .filter(F.col("docs") >= min_docs)
+        .filter(F.col("docs") >= needed)
         .drop("docs")
     )
     return (
@@ -110,17 +120,22 @@ def recurring_lines(
 
 
 def with_kept_lines(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    min_docs: int = MIN_DOCS,
+    long_docs: int | None = None,
 ) -> DataFrame:
     """The documents with ``__lines`` (array) and ``__kept``, the numbers of lines that stay.
 
-    A template recurs if it is in ``min_docs`` documents or more; the document with
+    A template recurs if it is in ``min_docs`` documents or more, one of more than
+    ``LONG_TOKENS`` tokens in ``long_docs`` or more if that is given; the document with
     the smallest id keeps its lines (of equal ids that with the smaller hash of its
     text), all others lose theirs. Lines that are blank always stay. Rows with the
     same id and text are one document and lose the same lines. A null text is one
     blank line; a null id comes before all others.
     """
-    dropped = recurring_lines(docs, id_col, text, min_docs).withColumnsRenamed(
+    dropped = recurring_lines(docs, id_col, text, min_docs, long_docs).withColumnsRenamed(
         {c: f"{c}_drop" for c in _LINE}
     )
     own = [F.col(c).eqNullSafe(F.col(f"{c}_drop")) for c in _LINE]
@@ -136,11 +151,15 @@ def kept_text() -> Column:
 
 
 def without_recurring_lines(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    min_docs: int = MIN_DOCS,
+    long_docs: int | None = LONG_DOCS,
 ) -> DataFrame:
     """The documents without recurring lines. No row is dropped; null texts stay null."""
     kept = F.when(F.col(text).isNotNull(), kept_text()).alias(text)
-    out = with_kept_lines(docs, id_col, text, min_docs)
+    out = with_kept_lines(docs, id_col, text, min_docs, long_docs)
     return out.select(*(kept if c == text else F.col(c) for c in docs.columns))
 
 
