@@ -150,6 +150,42 @@ def test_a_long_passage_recurs_from_two_documents_on(spark):
     assert got == [texts[0], f"two\n{short}", "three"]
 
 
+def test_lines_with_variable_words_anywhere(spark):
+    names, places = ["Ann", "Bob", "Cy"], ["Rome", "Oslo", "Lima"]
+    lines = ["Posted in the news section by {n}", "{n} wrote this long piece for us in {p}", "Read more by {n}"]
+    text = "\n".join(lines) + "\nOwn {n}"
+    texts = [text.format(n=n, p=p) for n, p in zip(names, places)]
+    texts.append("They came by train to the old town\nWe saw a bird")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in line_dedup.without_recurring_lines(docs).orderBy("doc_id").collect()]
+    # four tokens and fewer are too short for a variable field
+    assert got == [texts[0], "Read more by Bob\nOwn Bob", "Read more by Cy\nOwn Cy", texts[3]]
+
+
+def test_lines_by_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    n, seen, drop = line_dedup.BLOCKS, {}, set()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    masks = [(), *((i,) for i in range(n)), *((i, j) for i in range(n) for j in range(i))]
+    for d, text in texts.items():
+        for pos, line in enumerate(re.sub("[0-9]+", "0", text).split("\n")):
+            words = [w for w in re.split("[ \t\x0b-\r]+", line) if w]
+            size = len(words)
+            cut = [tuple(words[i * size // n : (i + 1) * size // n]) for i in range(n)]
+            fields = sum(size >= t for t in line_dedup.FIELD_TOKENS)
+            for mask in masks if words else ():
+                if len(mask) <= fields:
+                    key = (size, mask, *(b for i, b in enumerate(cut) if i not in mask))
+                    seen.setdefault(key, set()).add((d, pos))
+    for (size, *_), places in seen.items():
+        holders = {d for d, _ in places}
+        if len(holders) >= (2 if size > 50 else 3):
+            drop |= {p for p in places if p[0] != min(holders)}
+    want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in drop) for d, t in texts.items()}
+    got = {r.doc_id: r.text or "" for r in line_dedup.without_recurring_lines(docs).collect()}
+    assert drop and got == want
+
+
 def test_edited_counts(odd, empty):
     edits = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(3).cast("long").alias("end"), F.lit("new ").alias("replacement")))
     docs = odd.withColumn("edits", F.when(F.col("doc_id") > 2, edits))

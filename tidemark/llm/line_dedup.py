@@ -10,8 +10,11 @@ Built-in column expressions throughout.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import new_run_folder
 
@@ -33,17 +36,20 @@ def _identified(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return docs.withColumns({"__id": F.col(id_col), "__text_hash": F.xxhash64(body)})
 
 
-def _parsed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """A row for each line that is not blank: its place and the nodes of its path."""
+def _masked_lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     masked = F.regexp_replace(F.regexp_replace(body, "[0-9]+", "0"), "[ \\x09\\x0B-\\x0D]+", " ")
-    lines = (
+    return (
         _identified(docs, id_col, text)
         .select(*_LINE, F.posexplode(F.split(masked, "\n", -1)).alias("pos", "raw"))
         .select(*_LINE, "pos", F.trim("raw").alias("line"))
         .filter("line != ''")
-        .withColumn("lead", F.substring_index("line", " ", DEPTH))
     )
+
+
+def _parsed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """A row for each line that is not blank: its place and the nodes of its path."""
+    lines = _masked_lines(docs, id_col, text).withColumn("lead", F.substring_index("line", " ", DEPTH))
     tail = F.expr("substring(line, length(lead) + 1)")
     tokens = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     words = F.split("lead", " ", -1)
@@ -86,18 +92,14 @@ def recurring_lines(
     id_col: str = "doc_id",
     text: str = "text",
     min_docs: int = MIN_DOCS,
-    long_docs: int | None = None,
 ) -> DataFrame:
     """``__id``, ``__text_hash`` and ``dropped``, the numbers of a document's lines to drop."""
     spark = docs.sparkSession
     folder = new_run_folder(spark, "lines")
-    needed = F.lit(min_docs)
-    if long_docs is not None:
-        needed = F.when(F.col("tokens") > LONG_TOKENS, long_docs).otherwise(min_docs)
     _parsed(docs, id_col, text).write.parquet(folder)
     lines = spark.read.parquet(folder)
     # all templates of a line agree in its leaf, so a leaf of few lines has none that recur
-    leaves = lines.groupBy(*_LEAF).count().filter(F.col("count") >= needed).drop("count")
+    leaves = lines.groupBy(*_LEAF).count().filter(F.col("count") >= min_docs).drop("count")
     found = (
         lines.join(leaves, _LEAF, "left_semi")
         .withColumn("template", _templates())
@@ -108,7 +110,7 @@ def recurring_lines(
         .distinct()
         .groupBy(*_TEMPLATE)
         .agg(F.count("*").alias("docs"), F.min(F.struct(*_LINE)).alias("first"))
-        .filter(F.col("docs") >= needed)
+        .filter(F.col("docs") >= min_docs)
         .drop("docs")
     )
     return (
@@ -119,23 +121,142 @@ def recurring_lines(
     )
 
 
+#: Blocks of a line in ``recurring_templates``, and the runs of them that are compared first.
+BLOCKS = 8
+RUNS = [(0, 1, 2), (3, 4, 5), (6, 7)]
+#: Tokens that a line needs for one variable block, and for two.
+FIELD_TOKENS = [5, 8]
+
+
+def _blocks(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """A row for each line that is not blank: its place and the hashes of its blocks."""
+    words = F.split("line", " ", -1)
+    lines = _masked_lines(docs, id_col, text).select(*_LINE, "pos", words.alias("words"))
+    lines = lines.withColumn("tokens", F.size("words"))
+
+    def block(i: int) -> Column:
+        first, end = (F.expr(f"{j} * tokens div {BLOCKS}").cast("int") for j in (i, i + 1))
+        return F.xxhash64(F.slice("words", first + 1, end - first)).alias(f"block{i}")
+
+    hashed = lines.select(*_LINE, "pos", "tokens", *(block(i) for i in range(BLOCKS)))
+    return hashed.select("*", *_hashes(_BLOCKS, "whole"))
+
+
+_BLOCKS = [f"block{i}" for i in range(BLOCKS)]
+
+
+def _hashes(columns: list[str], name: str) -> list[Column]:
+    """96 bits of hash."""
+    return [F.xxhash64(*columns).alias(name), F.hash(*columns).alias(f"{name}_check")]
+
+
+_WHOLE = ["tokens", "whole", "whole_check"]
+_SHAPE = ["tokens", "mask", "shape", "shape_check"]
+
+
+def _shapes() -> Column:
+    """The line itself, and with each block, and each two blocks, as variable fields."""
+
+    def left_out(*variable: int) -> Column:
+        rest = [c for i, c in enumerate(_BLOCKS) if i not in variable]
+        mask = F.lit(sum(1 << i for i in variable)).alias("mask")
+        return F.struct(mask, *_hashes(rest, "shape"))
+
+    one = F.array(*(left_out(i) for i in range(BLOCKS)))
+    two = F.array(*(left_out(i, j) for i in range(BLOCKS) for j in range(i)))
+    none = F.array().cast(T.ArrayType(_SHAPE_TYPE))
+    return F.explode(
+        F.concat(
+            F.array(left_out()),
+            F.when(F.col("akin") & (F.col("tokens") >= FIELD_TOKENS[0]), one).otherwise(none),
+            F.when(F.col("akin") & (F.col("tokens") >= FIELD_TOKENS[1]), two).otherwise(none),
+        )
+    )
+
+
+_SHAPE_TYPE = T.StructType(
+    [
+        T.StructField("mask", T.IntegerType(), False),
+        T.StructField("shape", T.LongType(), False),
+        T.StructField("shape_check", T.IntegerType(), False),
+    ]
+)
+
+
+def recurring_templates(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+    min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS,
+) -> DataFrame:
+    """As ``recurring_lines``, with variable fields anywhere in a line.
+
+    A line is cut into ``BLOCKS`` blocks of tokens; one or two of them may be variable.
+    Lines of a template agree in all the others, and so in one of the three runs: only
+    lines that share a run with another one get templates. A line needs as many
+    documents as a template may ask for, its smallest, and no more.
+    """
+    spark = docs.sparkSession
+    folder = new_run_folder(spark, "lines")
+    _blocks(docs, id_col, text).write.parquet(f"{folder}/all")
+    lines = spark.read.parquet(f"{folder}/all")
+    needed = F.when(F.col("tokens") > LONG_TOKENS, long_docs).otherwise(min_docs)
+    place = Window.partitionBy(*_WHOLE).orderBy(*_LINE)
+    (
+        lines.select(*_WHOLE, *_BLOCKS, *_LINE)
+        .distinct()
+        .withColumn("place", F.row_number().over(place))
+        .filter(F.col("place") <= max(min_docs, long_docs))
+        .write.parquet(f"{folder}/distinct")
+    )
+    distinct = spark.read.parquet(f"{folder}/distinct")
+    # a run of another line in which both agree
+    runs = F.array(
+        *(
+            F.struct(F.lit(n).alias("run"), F.xxhash64(*(_BLOCKS[i] for i in run)).alias("run_hash"))
+            for n, run in enumerate(RUNS)
+        )
+    )
+    own = distinct.filter("place = 1").select(*_WHOLE, F.explode(runs).alias("r")).select(*_WHOLE, "r.*")
+    shared = own.groupBy("tokens", "run", "run_hash").count().filter("count > 1").drop("count")
+    akin = own.join(shared, ["tokens", "run", "run_hash"], "left_semi").select(*_WHOLE).distinct()
+    found = (
+        distinct.join(akin.withColumn("akin", F.lit(True)), _WHOLE, "left")
+        .withColumn("akin", F.coalesce("akin", F.lit(False)))
+        .withColumn("template", _shapes())
+        .select(*_WHOLE, *_LINE, "template.*")
+    )
+    recurring = (
+        found.select(*_SHAPE, *_LINE)
+        .distinct()
+        .groupBy(*_SHAPE)
+        .agg(F.count("*").alias("docs"), F.min(F.struct(*_LINE)).alias("first"))
+        .filter(F.col("docs") >= needed)
+        .drop("docs")
+    )
+    firsts = found.join(recurring, _SHAPE).groupBy(*_WHOLE).agg(F.min("first").alias("first"))
+    return (
+        lines.join(firsts, _WHOLE)
+        .filter(~F.struct(*_LINE).eqNullSafe(F.col("first")))
+        .groupBy(*_LINE)
+        .agg(F.collect_set("pos").alias("dropped"))
+    )
+
+
 def with_kept_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text: str = "text",
     min_docs: int = MIN_DOCS,
-    long_docs: int | None = None,
+    dropping: Callable[..., DataFrame] = recurring_lines,
 ) -> DataFrame:
     """The documents with ``__lines`` (array) and ``__kept``, the numbers of lines that stay.
 
-    A template recurs if it is in ``min_docs`` documents or more, one of more than
-    ``LONG_TOKENS`` tokens in ``long_docs`` or more if that is given; the document with
+    A template recurs if it is in ``min_docs`` documents or more; the document with
     the smallest id keeps its lines (of equal ids that with the smaller hash of its
     text), all others lose theirs. Lines that are blank always stay. Rows with the
     same id and text are one document and lose the same lines. A null text is one
     blank line; a null id comes before all others.
     """
-    dropped = recurring_lines(docs, id_col, text, min_docs, long_docs).withColumnsRenamed(
+    dropped = dropping(docs, id_col, text, min_docs).withColumnsRenamed(
         {c: f"{c}_drop" for c in _LINE}
     )
     own = [F.col(c).eqNullSafe(F.col(f"{c}_drop")) for c in _LINE]
@@ -155,11 +276,10 @@ def without_recurring_lines(
     id_col: str = "doc_id",
     text: str = "text",
     min_docs: int = MIN_DOCS,
-    long_docs: int | None = LONG_DOCS,
 ) -> DataFrame:
-    """The documents without recurring lines. No row is dropped; null texts stay null."""
+    """The documents without lines of ``recurring_templates``. No row is dropped; null texts stay null."""
     kept = F.when(F.col(text).isNotNull(), kept_text()).alias(text)
-    out = with_kept_lines(docs, id_col, text, min_docs, long_docs)
+    out = with_kept_lines(docs, id_col, text, min_docs, recurring_templates)
     return out.select(*(kept if c == text else F.col(c) for c in docs.columns))
 
 
