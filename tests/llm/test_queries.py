@@ -93,6 +93,14 @@ def test_near_duplicates_by_brute_force(spark, small, odd, empty):
     assert sorted(str(r[0]) for r in kept) == ["1", "3", "5", "7", "None"]
 
 
+def test_rows_that_share_an_id_are_judged_each(spark):
+    texts = [(1, "the same words as there"), (2, "the same words as there"), (2, "nothing like it at all"),
+             (3, "a third text of its own"), (3, "and one more with this id"), (None, "the same words as there")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each_group(docs).collect()]
+    assert sorted(kept, key=str) == sorted([texts[0], *texts[2:]], key=str)
+
+
 def test_large_buckets_are_split(spark):
     prints = spark.range(200).select((F.col("id") * 8).alias("fingerprint"))
     whole = simhash.groups_of(simhash.near_links(prints)).count()

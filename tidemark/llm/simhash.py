@@ -296,10 +296,17 @@ def near_duplicates(
     linked, so null and empty texts form one component. Rows without an id get the
     component of the others; it is null if none has an id. Repeated rows stay.
     """
+    own = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"))
+    found = _components(own, ["__id"], words, radius)
+    return found.select(F.col("__id").alias(id_col), "fingerprint", "component_id")
+
+
+def _components(docs: DataFrame, columns: list[str], words: int, radius: int) -> DataFrame:
+    """``columns``, ``fingerprint``, ``root`` (a fingerprint that names the component) and ``component_id``."""
     spark = docs.sparkSession
     folder = new_run_folder(spark, "simhash")
-    fingerprints(docs, [id_col], text, words).write.parquet(folder)
-    prints = spark.read.parquet(folder).withColumnRenamed(id_col, "__id")
+    fingerprints(docs, columns, "__text", words).write.parquet(folder)
+    prints = spark.read.parquet(folder)
     distinct = prints.groupBy("fingerprint").agg(F.min("__id").alias("first"))
     stars = groups_of(near_links(distinct.select("fingerprint"), radius))
     root = F.coalesce("b", "fingerprint").alias("root")
@@ -307,16 +314,23 @@ def near_duplicates(
         "fingerprint", "first", root
     )
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    component = labelled.join(smallest, "root").select("fingerprint", "component_id")
-    return prints.join(component, "fingerprint").select(
-        F.col("__id").alias(id_col), "fingerprint", "component_id"
-    )
+    component = labelled.join(smallest, "root").select("fingerprint", "root", "component_id")
+    return prints.join(component, "fingerprint").select(*columns, "fingerprint", "root", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id names their component, once each; rows without an id stay."""
-    found = near_duplicates(docs, id_col, text)
-    others = found.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(others, id_col, "left_anti").select(*docs.columns)
-    repeated = kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return repeated.unionByName(kept.filter(F.col(id_col).isNull()))
+    """One row of each component, that of the smallest id and of these of the smallest hash of its text.
+
+    It is decided by (id, text), so texts that share an id are judged each on its own.
+    Rows without an id stay.
+    """
+    row = ["__id", "__text_hash"]
+    hashed = docs.withColumns({"__id": F.col(id_col), "__text_hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    folder = new_run_folder(docs.sparkSession, "rows")
+    own = hashed.select(*row, F.col(text).alias("__text"))
+    _components(own, row, SHINGLE_WORDS, RADIUS).write.parquet(folder)
+    found = docs.sparkSession.read.parquet(folder).filter("__id is not null")
+    first = found.groupBy("root").agg(F.min(F.struct(*row)).alias("first"))
+    others = found.join(first, "root").filter(F.struct(*row) != F.col("first")).select(*row).distinct()
+    kept = hashed.filter("__id is not null").join(others, row, "left_anti").dropDuplicates(row)
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
