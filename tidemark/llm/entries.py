@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup, pii, quality, simhash, token_counts, topk, url_rules, warc
+from tidemark.llm import (
+    bpe,
+    decontaminate,
+    line_dedup,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    topk,
+    url_rules,
+    vector_codes,
+    warc,
+)
 from tidemark.session import let_workers_import
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -130,6 +142,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, book = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(coded).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(book)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_simhash": op2_simhash,
@@ -141,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 TOP_K_SQL = """
@@ -162,4 +186,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_rules": url_rules.SQL,
     "op5_topk": TOP_K_SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op12_vector_codes": vector_codes.SQL,
 }
