@@ -12,6 +12,7 @@ from tidemark.llm import (
     bpe,
     decontaminate,
     line_dedup,
+    neighbours,
     pii,
     quality,
     simhash,
@@ -153,6 +154,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.filter("vec_id % 20 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_simhash": op2_simhash,
@@ -165,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
     "op12_vector_codes": op12_vector_codes,
+    "op13_neighbours": op13_neighbours,
 }
 
 TOP_K_SQL = """
