@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     bpe,
     decontaminate,
+    lexical,
     line_dedup,
     neighbours,
     pii,
@@ -22,7 +23,7 @@ from tidemark.llm import (
     vector_codes,
     warc,
 )
-from tidemark.session import let_workers_import
+from tidemark.session import let_workers_import, new_run_folder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -143,6 +144,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = new_run_folder(spark, "index")
+    lexical.build_index(_table(spark, sf_dir, "documents"), index)
+    return lexical.search(spark, index, _table(spark, sf_dir, "benchmark")).withColumnRenamed("item", "item_id")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, book = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
     return vector_codes.with_label_errors(coded).select(
@@ -170,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_lexical_search": op11_lexical_search,
     "op12_vector_codes": op12_vector_codes,
     "op13_neighbours": op13_neighbours,
 }
@@ -193,5 +201,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_rules": url_rules.SQL,
     "op5_topk": TOP_K_SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op11_lexical_search": lexical.SQL,
     "op12_vector_codes": vector_codes.SQL,
 }
