@@ -83,13 +83,9 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = line_dedup.with_kept_lines(_table(spark, sf_dir, "documents"))
-    return lines.select(
-        "doc_id",
-        F.size("__lines").cast("long").alias("n_lines"),
-        F.size("__kept").cast("long").alias("n_kept"),
-        F.sha2(line_dedup.kept_text(), 256).alias("text_sha256"),
-    )
+    found = line_dedup.line_counts(_table(spark, sf_dir, "documents"))
+    digest = F.sha2("text", 256).alias("text_sha256")
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_kept", digest)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
