@@ -5,8 +5,8 @@ to unit length, so that the largest inner product is the smallest distance. Gaus
 (2-stable) projections to a few dimensions follow: a squared projected distance is
 the squared distance times a chi-square variable with as many degrees of freedom.
 
-Projected points lie in KD-trees. A search takes them in ascending projected
-distance and verifies each on its original vector. It stops at the projected
+Projected points lie in KD-trees. A search takes their leaves in ascending projected
+distance and verifies the points on their original vectors. It stops at the projected
 distance r where a point as near as the present k-th best would, with the certainty
 asked for, have been projected nearer: chi-square(r^2 / d_k^2) >= certainty. So
 each true neighbour is missed with a probability of at most 1 - certainty.
@@ -18,7 +18,6 @@ whose box passes the test at the k-th distance found there. Every row is indexed
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -34,10 +33,10 @@ from tidemark.session import new_run_folder
 K = 20
 DIMS = 8
 #: Probability at which a search takes it that no neighbour is left.
-CERTAINTY = 0.98
+CERTAINTY = 0.96
 #: Points of a searched shard; a cell with more is dealt into several.
-SHARD = 4096
-LEAF = 256
+SHARD = 2048
+LEAF = 128
 #: Most cells, and rows of the sample for each that the splits are fitted on.
 MOST_CELLS = 1024
 SAMPLE_A_CELL = 32
@@ -139,48 +138,52 @@ class Search:
         self.verified = 0
 
     def nearest(
-        self, own: int, query: np.ndarray, boxes: np.ndarray, projected: np.ndarray, k: int, reached: float
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores, at least the ``k`` best found; ``reached`` is a score that ``k`` others have."""
-        tree, scale = self.tree, 1.0 / (float(np.sqrt((query * query).sum())) * self.norm)
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        wait_squares, wait_rows = np.zeros(0), np.zeros(0, np.int64)
-        kth = reached
-        heap = [(boxes[0], 0)]
-        while heap or len(wait_rows):
-            far = self.limit * max(0.0, 2 - 2 * kth * scale) + _SLACK
-            frontier = heap[0][0] if heap else np.inf
-            ripe = wait_squares <= min(frontier, far)
-            if ripe.any():
-                rows = wait_rows[ripe]
-                wait_squares, wait_rows = wait_squares[~ripe], wait_rows[~ripe]
-                rows = rows[self.ids[rows] != own]
-                self.verified += len(rows)
-                # by rows, so that equal vectors have equal scores
-                found = (self.vectors[rows] * query).sum(1)
-                ids, scores = np.concatenate([ids, self.ids[rows]]), np.concatenate([scores, found])
-                if len(scores) >= k:
-                    kth = max(kth, float(np.partition(scores, -k)[-k]))
-                    kept = scores >= kth
-                    ids, scores = ids[kept], scores[kept]
-                continue
-            if frontier > far:
-                break  # the chi-square test holds for all that is left
-            _, node = heapq.heappop(heap)
-            if tree.right[node]:
-                for child in (node + 1, tree.right[node]):
-                    heapq.heappush(heap, (boxes[child], child))
-                continue
-            a, b = tree.first[node], tree.stop[node]
-            apart = tree.points[a:b] - projected
-            squares = (apart * apart).sum(1)
-            near = np.flatnonzero(squares <= far)
-            wait_squares = np.concatenate([wait_squares, squares[near]])
-            wait_rows = np.concatenate([wait_rows, near + a])
-        if len(scores) > k:
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-        return ids, scores
+        self, own: np.ndarray, queries: np.ndarray, projected: np.ndarray, k: int, reached: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query numbers, ids and scores of the ``k`` best found for each query.
+
+        ``reached`` is a score that ``k`` others have. Every query takes the leaves in
+        ascending distance of their boxes; those that are at the same leaf in a round
+        are verified together.
+        """
+        tree, sizes = self.tree, np.sqrt((queries * queries).sum(1))
+        scale = 1.0 / (sizes * self.norm)
+        leaves = np.array(tree.leaves())
+        boxes = box_squares(projected, tree.low[leaves], tree.high[leaves])
+        order = np.argsort(boxes, axis=1, kind="stable")
+        boxes = np.take_along_axis(boxes, order, axis=1)
+        # products of a leaf at once tell, within their rounding, which rows can be among the best
+        rounding = _SLACK * sizes * self.norm
+        top = np.full((len(own), k), -np.inf)
+        kth, near = reached.astype(np.float64), (projected * projected).sum(1)
+        kept: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for turn in range(len(leaves)):
+            far = self.limit * np.maximum(0, 2 - 2 * kth * scale) + _SLACK
+            going = np.flatnonzero(boxes[:, turn] <= far)  # for the others the chi-square test holds
+            at = order[going, turn]
+            for leaf in np.unique(at).tolist():
+                a, b = tree.first[leaves[leaf]], tree.stop[leaves[leaf]]
+                asked, points = going[at == leaf], tree.points[a:b]
+                squares = (points * points).sum(1) - 2 * (projected[asked] @ points.T) + near[asked, None]
+                scores = queries[asked] @ self.vectors[a:b].T
+                ripe = squares <= far[asked, None]
+                self.verified += int(ripe.sum())
+                scores[~ripe | (self.ids[a:b] == own[asked, None])] = -np.inf
+                column, row = np.nonzero(scores >= (kth - rounding)[asked, None])
+                kept.append((asked[column], row + a, scores[column, row]))
+                top[asked] = np.partition(np.concatenate([top[asked], scores], axis=1), -k, axis=1)[:, -k:]
+                kth[asked] = np.maximum(kth[asked], top[asked].min(1))
+        asked, rows, scores = (np.concatenate(c) for c in zip(*kept))
+        last = np.flatnonzero(np.isfinite(scores) & (scores >= (kth - rounding)[asked]))
+        asked, rows = asked[last], rows[last]
+        # by rows, so that equal vectors have equal scores
+        scores = np.zeros(len(rows))
+        for a, b in ((a, a + (1 << 14)) for a in range(0, len(rows), 1 << 14)):
+            scores[a:b] = (self.vectors[rows[a:b]] * queries[asked[a:b]]).sum(1)
+        best = np.lexsort((self.ids[rows], -scores, asked))
+        asked, ids, scores = asked[best], self.ids[rows[best]], scores[best]
+        place = np.arange(len(asked)) - np.searchsorted(asked, asked)
+        return tuple(c[place < k] for c in (asked, ids, scores))
 
 
 # -- jobs -----------------------------------------------------------------
@@ -319,7 +322,7 @@ def _searched(visits: DataFrame, points: DataFrame, blocks: int, projection: Pro
     """What each visit finds. A task holds a shard and the queries of one block that visit it."""
 
     def search(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        found: list[list] = [[], [], [], []]
+        found = [[], [], [], []]
         if rows.num_rows and queries.num_rows:
             table = lambda t: (
                 t["id"].to_numpy(),
@@ -328,16 +331,11 @@ def _searched(visits: DataFrame, points: DataFrame, blocks: int, projection: Pro
             )
             shard = Search(*table(rows), projection.norm, limit)
             ids, vectors, places = table(queries)
-            boxes = box_squares(places, shard.tree.low, shard.tree.high)
-            numbers, reached = queries["row"].to_pylist(), queries["reached"].to_pylist()
-            for i, own in enumerate(ids.tolist()):
-                floor = -np.inf if reached[i] is None else reached[i]
-                near, scores = shard.nearest(own, vectors[i], boxes[i], places[i], k, floor)
-                for column, values in zip(found, ([numbers[i]] * len(near), [own] * len(near), near, scores)):
-                    column.extend(values)
-        names = ["query", "query_id", "vec_id"]
-        made = {n: pa.array(c, pa.int64()) for n, c in zip(names, found)}
-        return pa.table({**made, "score": pa.array(found[3], pa.float64())})
+            reached = np.array([-np.inf if r is None else r for r in queries["reached"].to_pylist()])
+            asked, near, scores = shard.nearest(ids, vectors, places, k, reached)
+            found = [queries["row"].to_numpy()[asked], ids[asked], near, scores]
+        kinds = [pa.int64()] * 3 + [pa.float64()]
+        return pa.table({c.split()[0]: pa.array(v, t) for c, v, t in zip(_FOUND.split(", "), found, kinds)})
 
     block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
     asked = visits.withColumn("block", block)
