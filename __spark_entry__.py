@@ -229,7 +229,7 @@ def merge_incremental(spark: SparkSession, sf: str) -> DataFrame:
 def _kept_orders(spark: SparkSession, sf: str) -> ChangeLog:
     """Three log batches, compacted after the second."""
     root = new_run_folder(spark, "compact")
-    changelog = ChangeLog(spark, f"{root}/orders", fixtures.WIDE_ORDERS)
+    changelog = ChangeLog(spark, f"{root}/orders", fixtures.WIDE_ORDERS, buckets=8)
     no_fault = {c: F.lit(None).cast("string") for c in ("reason", "key_text", "value_text")}
     rows = fixtures.changes(spark, sf, "orders").withColumns(no_fault)
     part = F.pmod(F.xxhash64("offset", "id"), F.lit(3))
@@ -248,7 +248,7 @@ def compact_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pinned_clock(changelog: ChangeLog):
-    """Time of the newest live order, one number, as a literal that prunes months."""
+    """Time of the newest live order, one number, as a literal that reaches the scan."""
     newest = changelog.current().agg(F.max("order_time")).first()[0]
     return F.lit(newest).cast("bigint")
 
@@ -343,7 +343,7 @@ def hourly_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_sales_30d_kept(spark: SparkSession, sf: str) -> DataFrame:
-    """The last 30 days from the kept state's months and the batches after it."""
+    """The last 30 days from the folded state and the batches after it."""
     changelog = _kept_orders(spark, sf)
     clock = _pinned_clock(changelog)
     recent = changelog.recent(day_start(clock) - 30 * MICROS_PER_DAY)

@@ -19,7 +19,7 @@ def batch(spark, *changes):
 
 @pytest.fixture
 def changelog(spark, tmp_path):
-    return ChangeLog(spark, str(tmp_path / "orders"), ORDERS)
+    return ChangeLog(spark, str(tmp_path / "orders"), ORDERS, buckets=4)
 
 
 def test_a_new_log_is_empty(changelog):
@@ -95,45 +95,125 @@ def test_state_as_of_an_earlier_batch(spark, changelog):
     assert sorted((r["id"], r["_version"]) for r in earlier.collect()) == [(1, 10), (2, 10)]
 
 
-def test_recent_rows_are_read_from_their_months_only(spark, changelog):
+def test_recent_rows_are_pruned_by_time(spark, changelog):
     for n, rows in enumerate(HISTORY):
         changelog.write_batch(batch(spark, *rows), n)
     changelog.compact(through={1: 2})
     recent = changelog.compacted(since=datetime(1970, 2, 1))
     assert [r["id"] for r in recent.collect()] == [3]
     plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "month" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
-    assert "GreaterThanOrEqual(order_time" in plan
+    assert "GreaterThanOrEqual(order_time" in plan[plan.index("PushedFilters") :]
 
 
-def test_folded_batches_and_old_generations_can_go(spark, changelog):
+def files_by_slot(changelog):
+    found = {}
+    for file in changelog.table.rows().inputFiles():
+        found.setdefault(file.split("_slot=")[1].split("/")[0], set()).add(file)
+    return found
+
+
+def test_a_fold_rewrites_the_buckets_it_changes(spark, changelog):
+    changelog.write_batch(batch(spark, *(change(i, 1, quantity=i) for i in range(100))), 0)
+    changelog.compact(through={1: 0})
+    before = files_by_slot(changelog)
+    assert sorted(before) == ["0", "1", "2", "3"]
+    # a change of one key, and one that is older than what is there
+    changelog.write_batch(batch(spark, change(7, 5, quantity=0), change(8, 0, quantity=0)), 1)
+    whole = bag(changelog.state())
+    changelog.compact(through={1: 1})
+    after = files_by_slot(changelog)
+    own = changelog.table.rows().filter("id = 7").first()["_slot"]
+    assert [s for s in before if before[s] != after[s]] == [str(own)]
+    assert bag(changelog.state()) == whole == bag(latest_versions(changelog.changes()))
+    assert changelog.table.rows().filter("_slot != pmod(hash(id), 4)").count() == 0
+
+
+def test_changes_that_lose_rewrite_nothing(spark, changelog):
+    changelog.write_batch(batch(spark, change(1, 9), change(2, 9)), 0)
+    changelog.compact(through={1: 0})
+    before = files_by_slot(changelog)
+    changelog.write_batch(batch(spark, change(1, 3)), 1)
+    assert changelog.compact(through={1: 1}) == 2
+    assert files_by_slot(changelog) == before and changelog.folded() == (2, {1: 1})
+
+
+def test_the_state_is_joined_without_a_shuffle(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "orders"), ORDERS, buckets=8)
+    log.write_batch(batch(spark, *(change(i, 1) for i in range(200))), 0)
+    log.compact(through={1: 0})
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        kept = log.compacted()
+        joined = kept.join(kept.select("id", F.col("quantity").alias("q")), "id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_folded_batches_can_go_and_quarantine_stays(spark, changelog):
     for n, rows in enumerate(HISTORY):
         changelog.write_batch(batch(spark, *rows), n)
+    rejected = topic(spark, message("not json", offset=2))
+    changelog.write_batch(triage(rejected, ORDERS).unionByName(batch(spark, change(4, 1))), 3)
     whole = bag(changelog.state())
-    changelog.compact(through={1: 0})
     assert changelog.drop_folded() == 0
     changelog.compact(through={1: 1})
-    assert changelog.drop_folded() == 1
+    assert changelog.drop_folded() == 2
     assert bag(changelog.state()) == whole
-    changelog.compact(through={1: 2})
+    changelog.compact(through={1: 3})
     assert changelog.drop_folded() == 2
     assert bag(changelog.state()) == whole
-    assert changelog.batches() == {1: 2}
+    assert changelog.batches() == {} and changelog.quarantine().count() == 1
 
 
-def test_an_unfinished_generation_is_not_seen(spark, changelog):
+@pytest.mark.parametrize("dies_in", ["table", "mark"])
+def test_a_fold_that_died_is_finished_by_the_next(spark, changelog, monkeypatch, dies_in):
     for n, rows in enumerate(HISTORY):
         changelog.write_batch(batch(spark, *rows), n)
     whole = bag(changelog.state())
-    # As a compaction that died before its manifest row would leave it.
-    flat(spark, ORDERS, change(99, 1)).write.parquet(f"{changelog.root}/state/generation=1")
-    assert bag(changelog.state()) == whole
-    changelog.compact(through={1: 2})
-    assert bag(changelog.state()) == whole
+    changelog.compact(through={1: 0})
+    real_replace, real_mark = changelog.table.replace, changelog._mark
+
+    def dies(*args, **options):
+        if dies_in == "table":
+            real_replace(*args, **options)
+            raise RuntimeError("lost")
+        if options.get("done"):
+            raise RuntimeError("lost")
+        real_mark(*args, **options)
+
+    monkeypatch.setattr(*((changelog.table, "replace") if dies_in == "table" else (changelog, "_mark")), dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        changelog.compact(through={1: 1})
+    monkeypatch.undo()
+    assert changelog.folded() == (1, {1: 0}) and bag(changelog.state()) == whole
+    again = ChangeLog(spark, changelog.root, ORDERS, buckets=4)  # as after a restart
+    assert again.compact(through={1: 2}) == 3
+    assert again.folded() == (3, {1: 2}) and bag(again.state()) == whole
+
+
+def test_a_state_bucket_that_loses_its_last_row_is_emptied(spark, changelog):
+    changelog.write_batch(batch(spark, change(1, 10, deleted=1), change(2, 2000)), 0)
+    changelog.compact(through={1: 0})
+    changelog.write_batch(batch(spark), 1)
+    changelog.compact(through={1: 1}, expire_before=1000)
+    assert [r["id"] for r in changelog.table.rows().collect()] == [2]
+
+
+def test_another_session_reads_the_folded_state(spark, changelog):
+    for n, rows in enumerate(HISTORY):
+        changelog.write_batch(batch(spark, *rows), n)
+    changelog.compact(through={1: 1})
+    spark.sql(f"DROP TABLE {changelog.table.name}")  # forgets the name, not the files
+    other = ChangeLog(spark.newSession(), changelog.root, ORDERS, buckets=4)
+    assert bag(other.state()) == bag(latest_versions(other.changes()))
+    assert other.compacted().count() > 0
 
 
 def test_tables_without_event_time_compact_too(spark, tmp_path):
-    log = ChangeLog(spark, str(tmp_path / "customers"), CUSTOMERS)
+    log = ChangeLog(spark, str(tmp_path / "customers"), CUSTOMERS, buckets=2)
     rows = flat(spark, CUSTOMERS, change(1, 1, name="A"), change(1, 2, name="B"))
     log.write_batch(rows.withColumns({c: F.lit(None).cast("string") for c in ("reason", "key_text", "value_text")}), 0)
     log.compact(through={1: 0})
@@ -189,16 +269,17 @@ def test_the_tail_is_read_from_its_own_folders(spark, changelog):
         changelog.write_batch(batch(spark, *rows), n)
     tail = changelog.changes(after={1: 1})
     assert sorted(r["id"] for r in tail.collect()) == [1, 2]
-    assert all("batch_id=2/" in f for f in tail.inputFiles())
+    plan = tail._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
     assert changelog.changes(after={1: 2}).count() == 0
     assert changelog.changes(through={2: 5}).count() == 0
     assert changelog.changes(through={2: 5}, others=True).count() == changelog.changes().count()
 
 
-def test_empty_batches_count_as_written(spark, changelog):
+def test_empty_batches_hold_nothing(spark, changelog):
     changelog.write_batch(batch(spark, change(1, 1)), 0)
     changelog.write_batch(batch(spark), 1)
-    assert changelog.batches() == {1: 1}
+    assert changelog.batches() == {1: 0}
     assert changelog.batch(1).count() == 0
     assert [r["id"] for r in changelog.current().collect()] == [1]
 
@@ -236,17 +317,16 @@ def test_recent_rows_equal_a_filter_on_all_live_rows(spark, changelog, compacted
     assert bag(recent) == bag(changelog.current().filter(F.col("order_time") >= 45 * DAY))
 
 
-def test_recent_rows_read_other_months_for_positions_only(spark, changelog):
+def test_recent_rows_read_other_rows_for_positions_only(spark, changelog):
     changelog.write_batch(batch(spark, *BEFORE), 0)
     changelog.write_batch(batch(spark, *AFTER), 1)
     changelog.compact(through={1: 0})
     recent = changelog.recent(datetime(1970, 2, 15))
     text = recent._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
-    kept = [line for line in scans if "month#" in line]
-    pruned = [line for line in kept if "isnotnull(month#" in line and ">=" in line]
-    assert len(pruned) == 1
-    assert all("quantity#" not in line for line in kept if line not in pruned)
+    kept = [line for line in text.splitlines() if "FileScan parquet" in line and "_slot#" in line]
+    pruned = [line for line in kept if "GreaterThanOrEqual(order_time" in line]
+    assert len(pruned) == 1 and len(kept) > 1
+    assert all("quantity" not in line for line in kept if line not in pruned)
 
 
 def test_maintenance_folds_drops_and_expires(spark, changelog):
@@ -256,8 +336,7 @@ def test_maintenance_folds_drops_and_expires(spark, changelog):
         changelog.maintain(n, 1, every=2, drop_folded=True)
         assert bag(changelog.current()) == before
     assert changelog.folded() == (3, {1: 4})
-    # the generation before the newest holds batches up to 2
-    assert changelog._batch_folders() == [(1, 3), (1, 4), (1, 5)]
+    assert changelog._batches() == [(1, 5)]
     assert changelog.state().filter("id = 100").count() == 1
     for n in (6, 7):
         changelog.write_batch(batch(spark), n)

@@ -60,6 +60,14 @@ def overlay(
     return untouched.unionByName(newest.join(beaten, key, "left_anti"))
 
 
+def offered_over(state: DataFrame, newest: DataFrame, key: str = "id") -> DataFrame:
+    """The rows of ``newest`` that ``overlay`` would let in: new keys, and newer rows of old ones."""
+    held = state.select(F.col(key).alias("_held_key"), _position().alias("_held"))
+    better = F.col("_held").isNull() | (F.col("_held") <= _position())
+    joined = newest.join(held, F.col(key) == F.col("_held_key"), "left")
+    return joined.filter(better).drop("_held_key", "_held")
+
+
 def merge_changes(
     state: DataFrame, changes: DataFrame, key: str = "id", shown: DataFrame | None = None
 ) -> DataFrame:
@@ -72,7 +80,10 @@ def merge_changes(
     return overlay(state, latest_versions(changes, key), key, shown)
 
 
+def expired_tombstone(before_version: int) -> Column:
+    """Whether a key was deleted before a version no replay can go back to."""
+    return (F.col("_deleted") == 1) & (F.col("_version") < before_version)
+
+
 def expire_tombstones(state: DataFrame, before_version: int) -> DataFrame:
-    """Forget keys deleted before a version no replay can go back to."""
-    gone = (F.col("_deleted") == 1) & (F.col("_version") < before_version)
-    return state.filter(~gone)
+    return state.filter(~expired_tombstone(before_version))

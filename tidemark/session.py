@@ -54,8 +54,8 @@ def new_run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def drop_run_folder(spark: SparkSession, folder: str) -> None:
-    """Delete a working folder whose rows nobody will read again."""
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, if it is there, whose rows nobody will read again."""
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,36 +1,51 @@
-"""The change log of one table, its compacted state, and reads over both.
+"""The change log of one table, the state it is folded into, and reads over both.
 
 Layout below the root folder::
 
     log/ckpt=<checkpoint version>/batch_id=<n>/valid=<0|1>/   appended changes
-    state/generation=<g>/[month=<yyyymm>/]                    one row per key
-    manifest/                                                 what each generation folded in
+    state/                                                    bucketed table, one row per key
+    folds/fold=<n>/                                           which batches a fold holds
+    staged/fold=<n>/                                          rows of an unfinished fold
 
 A batch owns its folder, so writing it again replaces it. The checkpoint version
-is part of the path because batch numbers restart with a new checkpoint.
+is part of the path because batch numbers restart with a new checkpoint. Versions
+decide, so a batch that is folded and read again changes nothing.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import as_of_micros, day_of, month_of
+from tidemark.functions import as_of_micros
 from tidemark.functions.times import AsOf
 from tidemark.operators.changes import TOMBSTONE, emit_where
-from tidemark.operators.state import expire_tombstones, latest_versions, live, merge_changes
+from tidemark.operators.state import (
+    expired_tombstone,
+    latest_versions,
+    live,
+    merge_changes,
+    offered_over,
+    overlay,
+)
 from tidemark.schemas import TableSpec
+from tidemark.session import delete_folder
+from tidemark.sinks.state_table import SLOT, StateTable
 
 # Highest batch number of each checkpoint version.
 Batches = Mapping[int, int]
 
+BUCKETS = 64
+_PLACE = re.compile(r"/ckpt=(\d+)/batch_id=(\d+)/valid=1/")
+
 
 class ChangeLog:
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int = BUCKETS):
         self.spark = spark
         self.spec = spec
         self.root = root.rstrip("/")
@@ -42,18 +57,22 @@ class ChangeLog:
             T.StructField("valid", T.IntegerType()),
         ]
         self._log_schema = T.StructType([*self._flat.fields, *extras, *place])
-        self._manifest_schema = T.StructType(
+        self._fold_schema = T.StructType(
             [
-                T.StructField("generation", T.IntegerType()),
                 T.StructField("ckpt", T.IntegerType()),
                 T.StructField("through_batch", T.LongType()),
+                T.StructField("slots", T.ArrayType(T.IntegerType())),
+                T.StructField("done", T.IntegerType()),
+                T.StructField("fold", T.IntegerType()),
             ]
         )
-        self._open: tuple[int, DataFrame | None] = (0, None)
-        nothing = spark.createDataFrame([], self._log_schema).write.mode("ignore")
-        nothing.partitionBy("ckpt", "batch_id", "valid").parquet(f"{self.root}/log")
-        nothing = spark.createDataFrame([], self._manifest_schema).write.mode("ignore")
-        nothing.parquet(f"{self.root}/manifest")
+        self.table = StateTable(spark, f"{self.root}/state", spec, buckets)
+        for name, schema, parts in (
+            ("log", self._log_schema, ["ckpt", "batch_id", "valid"]),
+            ("folds", self._fold_schema, ["fold"]),
+        ):
+            nothing = spark.createDataFrame([], schema).write.mode("ignore")
+            nothing.partitionBy(*parts).parquet(f"{self.root}/{name}")
 
     # -- writing ---------------------------------------------------------
 
@@ -91,28 +110,23 @@ class ChangeLog:
         With ``through``, checkpoint versions it does not name are left out
         unless ``others`` is set.
         """
-        bounds = (after or {}, through, others)
-        return self._valid([b for b in self._batch_folders() if _in_range(*b, *bounds)])
+        return self._valid(self._log().filter(_in_range(after or {}, through, others)))
 
     def batch(self, batch_id: int, ckpt: int = 1) -> DataFrame:
-        """Valid changes of one written batch."""
-        return self._valid([(ckpt, batch_id)])
-
-    def _valid(self, batches: list[tuple[int, int]]) -> DataFrame:
-        """Valid changes of the batches, whose folders alone are listed and sized."""
-        if not batches:
-            return self.spark.createDataFrame([], self._flat)
+        """Valid changes of one written batch, read from its own folder."""
         reader = self.spark.read.schema(self._log_schema).option("basePath", f"{self.root}/log")
-        rows = reader.parquet(*(self._batch_folder(*b) for b in batches))
+        return self._valid(reader.parquet(self._batch_folder(ckpt, batch_id)))
+
+    def _valid(self, rows: DataFrame) -> DataFrame:
         return rows.filter(F.col("valid") == 1).select(*self._flat.fieldNames())
 
     def _batch_folder(self, ckpt: int, batch_id: int) -> str:
         return f"{self.root}/log/ckpt={ckpt}/batch_id={batch_id}"
 
-    def _batch_folders(self) -> list[tuple[int, int]]:
-        """Checkpoint version and number of every batch, from folder names alone."""
-        versions = self._numbers("log", "ckpt")
-        return [(c, n) for c in versions for n in self._numbers(f"log/ckpt={c}", "batch_id")]
+    def _batches(self) -> list[tuple[int, int]]:
+        """Checkpoint version and number of every batch with changes that is still in the log."""
+        places = map(_PLACE.search, self._log().filter(F.col("valid") == 1).inputFiles())
+        return sorted({(int(p[1]), int(p[2])) for p in places if p})
 
     def quarantine(self) -> DataFrame:
         return (
@@ -122,61 +136,36 @@ class ChangeLog:
         )
 
     def batches(self) -> dict[int, int]:
-        """Highest batch written per checkpoint version, empty ones included."""
-        return dict(sorted(self._batch_folders()))
+        """Highest batch with changes per checkpoint version."""
+        return dict(self._batches())
 
     # -- state -----------------------------------------------------------
 
-    def _manifest(self) -> DataFrame:
-        return self.spark.read.schema(self._manifest_schema).parquet(f"{self.root}/manifest")
+    def _folds(self) -> DataFrame:
+        return self.spark.read.schema(self._fold_schema).parquet(f"{self.root}/folds")
 
     def folded(self) -> tuple[int, dict[int, int]]:
-        """Newest generation and the batches it holds; generation 0 is empty."""
-        manifest = self._manifest()
-        newest = manifest.agg(F.max("generation")).scalar()
-        rows = manifest.filter(F.col("generation") == newest).collect()
-        number = rows[0]["generation"] if rows else 0
-        return number, {r["ckpt"]: r["through_batch"] for r in rows}
-
-    def _generation(
-        self, number: int, since: AsOf = None
-    ) -> DataFrame:
-        if self._open[0] != number:
-            # A generation in the manifest never changes: its files are listed once.
-            schema = self._flat
-            if self.spec.event_time:
-                schema = T.StructType([*schema.fields, T.StructField("month", T.IntegerType())])
-            path = f"{self.root}/state/generation={number}"
-            self._open = (number, self.spark.read.schema(schema).parquet(path))
-        rows = self._open[1]
+        """Number of the newest finished fold and the batches it holds; 0 if there is none."""
+        rows = self._folds().filter("done = 1").collect()
+        number = max((r["fold"] for r in rows), default=0)
+        return number, {r["ckpt"]: r["through_batch"] for r in rows if r["fold"] == number}
+
+    def _kept(self, since: AsOf = None) -> DataFrame:
+        rows = self.table.rows().select(*self._flat.fieldNames())
         if since is not None and self.spec.event_time:
-            bound = as_of_micros(since)
-            rows = rows.filter(F.col("month") >= month_of(bound))
-            rows = rows.filter(F.col(self.spec.event_time) >= bound)
-        return rows.select(*self._flat.fieldNames())
+            rows = rows.filter(F.col(self.spec.event_time) >= as_of_micros(since))
+        return rows
 
     def state(self, through: Batches | None = None, others: bool = False) -> DataFrame:
-        """One row per key, deletes included: newest generation plus later batches.
+        """One row per key, deletes included: the folded state plus later batches.
 
-        Batches a generation already holds stay in, whatever ``through`` says.
+        Batches a fold already holds stay in, whatever ``through`` says.
         """
         number, folded = self.folded()
         tail = self.changes(folded, through, others)
         if not number:
             return latest_versions(tail, self.spec.key)
-        return merge_changes(self._generation(number), tail, self.spec.key)
-
-    def live_on(
-        self, days: DataFrame, through: Batches | None = None, others: bool = False
-    ) -> DataFrame:
-        """Live rows whose event time falls on one of the days of column ``date``.
-
-        A NULL day stands for the rows without an event time.
-        """
-        own = day_of(F.col(self.spec.event_time))
-        rows = live(self.state(through, others))
-        listed = days.select(F.col("date").alias("_day"))
-        return rows.join(listed, own.eqNullSafe(F.col("_day")), "left_semi")
+        return merge_changes(self._kept(), tail, self.spec.key)
 
     def current(self) -> DataFrame:
         """Live rows."""
@@ -185,85 +174,103 @@ class ChangeLog:
     def recent(self, since: AsOf) -> DataFrame:
         """Live rows at or after an event time, as a filter on ``current()`` gives them.
 
-        Of the generation the months from ``since`` on are read in full, the others
-        for the keys and positions only that decide whether a later batch wins.
+        Of the folded state only the row groups from ``since`` on are read in full, the
+        others for the keys and positions that decide whether a later batch wins.
         """
         number, folded = self.folded()
         tail = self.changes(folded)
         if number:
-            shown = self._generation(number, since)
-            rows = merge_changes(self._generation(number), tail, self.spec.key, shown)
+            rows = merge_changes(self._kept(), tail, self.spec.key, self._kept(since))
         else:
             rows = latest_versions(tail, self.spec.key)
         return live(rows).filter(F.col(self.spec.event_time) >= as_of_micros(since))
 
     def compacted(self, since: AsOf = None) -> DataFrame:
-        """Live rows of the newest generation alone.
+        """Live rows of the folded state alone; with ``since``, those at or after that event time.
 
-        With ``since``, only rows at or after that event time, read from their
-        months only. Changes after the generation are not seen.
+        Changes after the fold are not seen.
         """
-        number, _ = self.folded()
-        if not number:
-            return self.spark.createDataFrame([], self._flat)
-        return live(self._generation(number, since))
+        return live(self._kept(since))
 
     def compact(self, through: Batches | None = None, expire_before: int | None = None) -> int:
-        """Fold log batches into a new generation and return its number.
-
-        Without bounds the newest batch of every checkpoint version is left
-        out, because its writer may still be at work. Tombstones stay in the
-        state, so a late older change cannot bring a deleted key back, unless
-        their version is below ``expire_before``, which no replay may reach. The
-        manifest row is written last; until then readers keep the old
-        generation.
+        """Fold log batches into the state table and return the fold's number.
+
+        Only buckets with a key that changes are rewritten. Without bounds the newest
+        batch of every checkpoint version is left out, because its writer may still be
+        at work. Tombstones stay in the state, so a late older change cannot bring a
+        deleted key back, unless their version is below ``expire_before``, which no
+        replay may reach.
+
+        The new rows are staged in full before a bucket is replaced. A fold that died in
+        between is finished by the next one, or by ``finish_fold``.
         """
+        self.finish_fold()
         number, folded = self.folded()
         if through is None:
             through = {ckpt: n - 1 for ckpt, n in self.batches().items()}
         reached = {**folded, **{c: max(n, folded.get(c, n)) for c, n in through.items()}}
-        rows = self.state(through=reached)
-        if expire_before is not None:
-            rows = expire_tombstones(rows, expire_before)
-        target = f"{self.root}/state/generation={number + 1}"
-        if self.spec.event_time:
-            # Rebalancing splits a month that holds too much for one task.
-            rows = rows.withColumn("month", month_of(F.col(self.spec.event_time)))
-            rows = rows.hint("rebalance", "month")
-            rows = rows.sortWithinPartitions("month", self.spec.event_time)
-            writer = rows.write.partitionBy("month")
-        else:
-            writer = rows.write
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
-        entries = [(number + 1, c, n) for c, n in reached.items()] or [(number + 1, 0, -1)]
-        self.spark.createDataFrame(entries, self._manifest_schema).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/manifest")
+        staged = f"{self.root}/staged/fold={number + 1}"
+        slots = self._stage(self.changes(folded, reached), staged, expire_before)
+        self._mark(number + 1, reached, slots, done=False)
+        self.finish_fold()
         return number + 1
 
+    def _stage(self, tail: DataFrame, folder: str, expire_before: int | None) -> list[int]:
+        """Write the new rows of the buckets that change; returns those buckets."""
+        key = self.spec.key
+        latest_versions(tail, key).write.mode("overwrite").parquet(f"{folder}/newest")
+        newest = self.spark.read.schema(self._flat).parquet(f"{folder}/newest")
+        kept = self.table.rows()
+        # at most one row a bucket comes to the driver
+        touched = offered_over(kept, newest, key).select(self.table.slot().alias(SLOT))
+        if expire_before is not None:
+            touched = touched.unionByName(kept.filter(expired_tombstone(expire_before)).select(SLOT))
+        slots = sorted(r[0] for r in touched.distinct().collect())
+        own = newest.filter(self.table.slot().isin(slots))
+        rows = overlay(kept.filter(F.col(SLOT).isin(slots)).drop(SLOT), own, key)
+        if expire_before is not None:
+            rows = rows.filter(~expired_tombstone(expire_before))
+        rows.write.mode("overwrite").parquet(f"{folder}/rows")
+        return slots
+
+    def finish_fold(self) -> bool:
+        """Put a staged fold into the table. Doing it again gives the same table."""
+        rows = self._folds().collect()  # the entries of the last folds, one a checkpoint version
+        number = max((r["fold"] for r in rows), default=0)
+        entries = [r for r in rows if r["fold"] == number]
+        if not entries or entries[0]["done"]:
+            return False
+        staged = f"{self.root}/staged/fold={number}"
+        new = self.spark.read.schema(self._flat).parquet(f"{staged}/rows")
+        self.table.replace(new, entries[0]["slots"])
+        reached = {r["ckpt"]: r["through_batch"] for r in entries}
+        self._mark(number, reached, entries[0]["slots"], done=True)
+        delete_folder(self.spark, staged)
+        if number > 2:
+            delete_folder(self.spark, f"{self.root}/folds/fold={number - 2}")
+        return True
+
+    def _mark(self, number: int, reached: Batches, slots: list[int], done: bool) -> None:
+        entries = [(c, n, slots, int(done)) for c, n in reached.items()] or [(0, -1, slots, int(done))]
+        schema = T.StructType(self._fold_schema.fields[:-1])
+        rows = self.spark.createDataFrame(entries, schema).coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{self.root}/folds/fold={number}")
+
     def drop_folded(self) -> int:
-        """Delete log batches held by the generation before the newest, and older generations.
+        """Delete the changes of batches that the state holds; returns how many batches.
 
-        Keeping one generation back lets readers that planned on it finish.
-        Returns the number of folders deleted.
+        Quarantined messages stay.
         """
-        newest, _ = self.folded()
-        kept_from = newest - 1
-        if kept_from < 1:
-            return 0
-        held = {
-            r["ckpt"]: r["through_batch"]
-            for r in self._manifest().filter(F.col("generation") == kept_from).collect()
-        }
-        folders = [self._batch_folder(c, n) for c, n in self._batch_folders() if n <= held.get(c, -1)]
-        old = [g for g in self._numbers("state", "generation") if g < kept_from]
-        folders += [f"{self.root}/state/generation={g}" for g in old]
-        return sum(self._delete(folder) for folder in folders)
+        number, held = self.folded()
+        folders = [self._batch_folder(c, n) for c, n in self._batches() if n <= held.get(c, -1)]
+        for folder in folders:
+            delete_folder(self.spark, f"{folder}/valid=1")
+        return len(folders)
 
     def maintain(
         self, batch_id: int, ckpt: int, every: int | None, drop_folded: bool, keep_ms: int | None = None
     ) -> None:
-        """After a batch: every ``every`` batches, compact up to the one before.
+        """After a batch: every ``every`` batches, fold up to the one before.
 
         Not the batch itself, as a replay of it has to see the state before it.
         Tombstones older than ``keep_ms``, the longest a change may be late, expire.
@@ -274,27 +281,18 @@ class ChangeLog:
             if drop_folded:
                 self.drop_folded()
 
-    def _files(self, folder: str) -> tuple:
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
-
-    def _numbers(self, folder: str, name: str) -> list[int]:
-        """The numbers of the sub-folders ``<name>=<number>``."""
-        files, path = self._files(f"{self.root}/{folder}")
-        found = files.listStatus(path) if files.exists(path) else []
-        parts = (status.getPath().getName().partition("=") for status in found)
-        return sorted(int(number) for key, _, number in parts if key == name)
-
-    def _delete(self, folder: str) -> bool:
-        files, path = self._files(folder)
-        return files.delete(path, True)
 
-
-def _in_range(ckpt: int, batch_id: int, after: Batches, through: Batches | None, others: bool) -> bool:
-    """Whether a batch is beyond ``after`` and, if given, not beyond ``through``."""
-    if ckpt in after and batch_id <= after[ckpt]:
-        return False
-    if through is None:
-        return True
-    return batch_id <= through[ckpt] if ckpt in through else others
+def _in_range(after: Batches, through: Batches | None, others: bool) -> Column:
+    """Whether a batch is beyond ``after`` and, if given, not beyond ``through``; of folder names alone."""
+    ckpt, batch = F.col("ckpt"), F.col("batch_id")
+    wanted = F.lit(True)
+    for version, n in after.items():
+        wanted &= ~((ckpt == version) & (batch <= n))
+    if through is not None:
+        named = F.lit(False)
+        for version, n in through.items():
+            named |= (ckpt == version) & (batch <= n)
+        if others:
+            named |= ~ckpt.isin(*through) if through else F.lit(True)
+        wanted &= named
+    return wanted
