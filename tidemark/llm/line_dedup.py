@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import drop_run_folder, new_run_folder
+from tidemark.session import delete_folder, new_run_folder
 
 #: Leading tokens that are levels of the tree.
 DEPTH = 2
@@ -142,7 +142,7 @@ def recurring_lines(docs: DataFrame, folder: str, id_col: str = "doc_id", text:
     general = chosen.join(stays, _KEY).select(*_ENTRY, F.col("stay").alias("first"))
     stay = kept(general.unionByName(same.join(general, _ENTRY, "left_anti")), "stay")
     for name in ("same", "shared", "candidates", "templates", "chosen", "stays"):
-        drop_run_folder(spark, f"{folder}/{name}")
+        delete_folder(spark, f"{folder}/{name}")
     return (
         entries.select(*_ENTRY, "doc", "pos")
         .join(stay, _ENTRY)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.batches import bound_batches
-from tidemark.session import drop_run_folder, new_run_folder
+from tidemark.session import delete_folder, new_run_folder
 
 PARTS = 16
 ENTRIES = 64
@@ -330,7 +330,7 @@ def compress(
         _assigned(state, history, keep=True).write.parquet(f"{folder}/{n}")
         state = spark.read.parquet(f"{folder}/{n}")
         if n:
-            drop_run_folder(spark, f"{folder}/{n - 1}")
+            delete_folder(spark, f"{folder}/{n - 1}")
         history.append(moved_entries(history[-1], _sums(state, history[-1].shape)))
     return _assigned(state, history, keep=False), history[-1]
 
