@@ -28,13 +28,14 @@ from tidemark.operators import events, joins, ranking
 from tidemark.operators.decode import decode
 from tidemark.operators.state import current_rows, latest_versions, merge_changes
 from tidemark.plans import customers, health, products, quality, sales
-from tidemark.session import new_run_folder
+from tidemark.session import let_workers_import, new_run_folder
 from tidemark.sinks.changelog import ChangeLog
 from tidemark.sinks.rollup import read_rollup, rebuild_rollup, roll_yesterday
 from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
 from tidemark.sources.tables import snapshot_in_order
 from tidemark.streaming.jobs import finish, log_writer, run_tables, start_table
-from tidemark.streaming.metrics import metrics_writer, read_daily_sales
+from tidemark.streaming.metrics import read_daily_sales, start_daily_sales
+from tidemark.streaming.retractions import read_feed, start_feed
 
 try:
     import corpus_pipeline
@@ -304,19 +305,21 @@ def stream_all_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _order_feed(spark: SparkSession, sf: str, root: str) -> DataFrame:
+    """The orders topic through the retraction job; its feed as a stream of a few batches."""
+    let_workers_import(spark)
+    source = _staged_stream(spark, fixtures.topic(spark, sf, "orders"), f"{root}/topic")
+    spec, feed = fixtures.WIDE_ORDERS, f"{root}/feed"
+    start_feed(source, spec, feed, f"{root}/checkpoints/feed", PipelineConfig(), available_now=True).awaitTermination()
+    files = len(spark.read.parquet(feed).inputFiles())
+    return read_feed(spark, feed, spec, files_per_trigger=max(1, -(-files // 3)))
+
+
 def stream_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily sales refreshed batch by batch from the stream of order changes."""
+    """Daily sales kept from the retractions of the stream of order changes."""
     root = new_run_folder(spark, "stream-daily")
-    source = _staged_stream(spark, fixtures.topic(spark, sf, "orders"), f"{root}/topic")
-    changelog = ChangeLog(spark, f"{root}/orders", fixtures.WIDE_ORDERS)
-    query = start_table(
-        source,
-        fixtures.WIDE_ORDERS,
-        metrics_writer(changelog, f"{root}/daily", compact_every=2),
-        f"{root}/checkpoints/daily/v1",
-        PipelineConfig(),
-        available_now=True,
-    )
+    feed = _order_feed(spark, sf, root)
+    query = start_daily_sales(feed, f"{root}/daily", f"{root}/checkpoints/daily", PipelineConfig(), available_now=True)
     query.awaitTermination()
     return read_daily_sales(spark, f"{root}/daily")
 

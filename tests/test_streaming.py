@@ -7,10 +7,11 @@ from tidemark import fixtures
 from tidemark.config import JdbcTarget, PipelineConfig
 from tidemark.functions.times import MICROS_PER_DAY
 from tidemark.operators.changes import valid_changes
-from tidemark.operators.state import current_rows, latest_versions
+from tidemark.operators.state import current_rows
 from tidemark.plans.sales import daily_sales
 from tidemark.schemas import ORDERS
 from tidemark.sinks.changelog import ChangeLog
+from tidemark.session import let_workers_import
 from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
 from tidemark.streaming.jobs import (
     finish,
@@ -21,7 +22,8 @@ from tidemark.streaming.jobs import (
     status,
     stop,
 )
-from tidemark.streaming.metrics import metrics_writer, read_daily_sales
+from tidemark.streaming.metrics import read_daily_sales, start_daily_sales
+from tidemark.streaming.retractions import net_rows, read_feed, start_feed
 
 CONFIG = PipelineConfig()
 
@@ -151,7 +153,7 @@ def test_the_runner_folds_its_logs(spark, tmp_path):
     finish(runs)
     changelog = runs["orders"].changelog
     number, folded = changelog.folded()
-    assert number == 2 and folded == {1: changelog.batches()[1] - 1}
+    assert number == 2 and folded == {1: changelog.batches()[1] - 1} and changelog.batches() == {1: 3}
     assert changelog.current().count() == len({r["id"] for r in changelog.current().collect()}) > 0
 
 
@@ -200,51 +202,64 @@ def test_status_and_stop(spark, tmp_path):
     assert runs["orders"].changelog.changes().count() == 1
 
 
-@pytest.mark.parametrize("compact_every", [None, 1, 2])
-def test_streamed_daily_sales_equal_the_batch_view(spark, small, tmp_path, compact_every):
-    folder = str(tmp_path / "topic")
-    rows = fixtures.topic(spark, small, "orders").repartition(3, "offset")
-    rows.write.parquet(folder)
-    changelog = ChangeLog(spark, str(tmp_path / "log"), fixtures.WIDE_ORDERS)
-    daily = str(tmp_path / "daily")
-    writer = metrics_writer(changelog, daily, compact_every=compact_every)
-    run(spark, folder, writer, str(tmp_path / "ckpt"), fixtures.WIDE_ORDERS)
-    want = daily_sales(current_rows(fixtures.changes(spark, small, "orders")))
-    assert bag(read_daily_sales(spark, daily)) == bag(want)
+def feed_of(spark, folder, checkpoint, feed, spec=ORDERS):
+    source = read_topic_folder_stream(spark, folder, files_per_trigger=1)
+    start_feed(source, spec, feed, checkpoint, CONFIG, available_now=True).awaitTermination()
 
 
-def test_an_order_that_moves_changes_both_days(spark, tmp_path):
-    folder, ckpt, daily = (str(tmp_path / n) for n in ("topic", "ckpt", "daily"))
-    changelog = ChangeLog(spark, str(tmp_path / "log"), ORDERS)
-    writer = metrics_writer(changelog, daily, compact_every=2, drop_folded=True)
-    put(spark, folder, created(1, 1, order_time=0), created(2, 2, order_time=0))
-    put(spark, folder, created(3, 3, order_time=9 * MICROS_PER_DAY))
-    put(spark, folder, message("not json", offset=9))
-    run(spark, folder, writer, ckpt)
-    assert sorted(r["total_orders"] for r in read_daily_sales(spark, daily).collect()) == [1, 2]
-    # Order 1 moves, order 3 goes: its day is left without orders.
-    put(spark, folder, created(1, 4, ts_ms=5, order_time=MICROS_PER_DAY), deleted(3, 5, ts_ms=5))
-    run(spark, folder, writer, ckpt)
-    got = {str(r["date"]): r["total_orders"] for r in read_daily_sales(spark, daily).collect()}
-    assert got == {"1970-01-01": 1, "1970-01-02": 1}
-
-
-def test_replayed_metrics_batch_changes_nothing(spark, tmp_path):
-    folder, ckpt, daily = (str(tmp_path / n) for n in ("topic", "ckpt", "daily"))
-    changelog = ChangeLog(spark, str(tmp_path / "log"), ORDERS)
-    real = metrics_writer(changelog, daily)
-    put(spark, folder, created(1, 1, order_time=0))
-    put(spark, folder, created(1, 2, ts_ms=5, order_time=MICROS_PER_DAY))
+def daily_of(spark, feed, checkpoint, daily, spec=ORDERS, files=1):
+    stream = read_feed(spark, feed, spec, files_per_trigger=files)
+    start_daily_sales(stream, daily, checkpoint, CONFIG, available_now=True).awaitTermination()
+    return read_daily_sales(spark, daily)
 
-    def dies_after_batch_one(batch, batch_id):
-        real(batch, batch_id)
-        if batch_id == 1:
-            raise RuntimeError("lost")
 
-    with pytest.raises(Exception, match="lost"):
-        run(spark, folder, dies_after_batch_one, ckpt)
-    run(spark, folder, real, ckpt)
-    want = daily_sales(current_rows(changelog.changes()))
-    assert bag(read_daily_sales(spark, daily)) == bag(want)
-    assert changelog.changes().count() == 2
-    assert latest_versions(changelog.changes()).count() == 1
+def test_streamed_daily_sales_equal_the_batch_view(spark, small, tmp_path):
+    let_workers_import(spark)
+    folder, feed, daily = (str(tmp_path / n) for n in ("topic", "feed", "daily"))
+    rows = fixtures.topic(spark, small, "orders").repartition(3, "offset")
+    rows.write.parquet(folder)
+    feed_of(spark, folder, str(tmp_path / "c1"), feed, fixtures.WIDE_ORDERS)
+    live = current_rows(fixtures.changes(spark, small, "orders"))
+    columns = ["id", *ORDERS.columns]
+    assert bag(net_rows(spark.read.parquet(feed), fixtures.WIDE_ORDERS)) == bag(live.select(columns))
+    got = daily_of(spark, feed, str(tmp_path / "c2"), daily, fixtures.WIDE_ORDERS, files=8)
+    assert bag(got) == bag(daily_sales(live))
+
+
+def test_orders_that_move_repeat_come_late_or_go(spark, tmp_path):
+    let_workers_import(spark)
+    folder, feed, daily = (str(tmp_path / n) for n in ("topic", "feed", "daily"))
+    day = MICROS_PER_DAY
+
+    def figures():
+        feed_of(spark, folder, str(tmp_path / "c1"), feed)
+        rows = daily_of(spark, feed, str(tmp_path / "c2"), daily, files=100).collect()
+        changes = valid_changes(read_topic_folder(spark, folder), ORDERS)
+        assert sorted(map(tuple, rows), key=repr) == bag(daily_sales(current_rows(changes)))
+        return {str(r["date"]): r["total_orders"] for r in rows}
+
+    put(spark, folder, created(1, 1, order_time=0), created(2, 2, order_time=0, customer_id=None, quantity=None))
+    put(spark, folder, created(3, 3, order_time=9 * day), created(4, 4, order_time=None), message("not json", offset=9))
+    assert figures() == {"1970-01-01": 2, "1970-01-10": 1, "None": 1}
+    # order 1 moves, order 3 goes; 2 comes again and later than a newer change of it
+    put(spark, folder, created(1, 5, ts_ms=5, order_time=day), deleted(3, 6, ts_ms=5), created(2, 7, ts_ms=9, order_time=day, quantity=4))
+    put(spark, folder, created(2, 2, order_time=0, customer_id=None, quantity=None), created(2, 8, ts_ms=8, order_time=3 * day))
+    assert figures() == {"1970-01-02": 2, "None": 1}
+    put(spark, folder, created(3, 10, ts_ms=11, order_time=day), created(2, 2, order_time=0), deleted(4, 11, ts_ms=2))
+    assert figures() == {"1970-01-02": 3}
+
+
+def test_a_daily_batch_that_is_done_again_changes_nothing(spark, tmp_path, monkeypatch):
+    let_workers_import(spark)
+    folder, feed, daily = (str(tmp_path / n) for n in ("topic", "feed", "daily"))
+    put(spark, folder, created(1, 1, order_time=0))
+    put(spark, folder, created(1, 2, ts_ms=5, order_time=MICROS_PER_DAY), created(2, 3, order_time=0))
+    feed_of(spark, folder, str(tmp_path / "c1"), feed)
+    before = bag(daily_of(spark, feed, str(tmp_path / "c2"), daily, files=100))
+    # as if the driver had died after the write and before the commit
+    newest = max((tmp_path / "c2" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for mark in (newest, newest.with_name(f".{newest.name}.crc")):
+        mark.unlink(missing_ok=True)
+    assert bag(daily_of(spark, feed, str(tmp_path / "c2"), daily, files=100)) == before
+    plan = read_daily_sales(spark, daily)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "topic" not in plan and "feed" not in plan

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.config import PipelineConfig
 from tidemark.operators.changes import add_processing_metadata, triage, valid_changes
@@ -35,7 +35,7 @@ def log_writer(
     """Writes each micro-batch to its own folder of the change log.
 
     Every ``compact_every`` batches the ones before are folded into the state, and
-    with ``drop_folded`` the folders that two compactions have made redundant go.
+    with ``drop_folded`` their changes leave the log.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -80,7 +80,7 @@ def start_table(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
-    return _trigger(writer, config, available_now).start()
+    return set_trigger(writer, config, available_now).start()
 
 
 def start_debug(
@@ -98,10 +98,10 @@ def start_debug(
         .outputMode("append")
         .option("truncate", "false")
     )
-    return _trigger(writer, config, available_now).start()
+    return set_trigger(writer, config, available_now).start()
 
 
-def _trigger(writer, config: PipelineConfig, available_now: bool):
+def set_trigger(writer: DataStreamWriter, config: PipelineConfig, available_now: bool) -> DataStreamWriter:
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=config.trigger_interval)

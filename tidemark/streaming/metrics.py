@@ -1,91 +1,125 @@
 """Daily sales kept up to date while order changes stream in.
 
-A changed order affects the day it was on and the day it is on now. Those days
-are worked out anew from the state and appended as newer versions; reading
-takes the newest row of each day.
+Orders, items and averages are sums over the retraction feed. A distinct count is
+the number of values whose references, summed over the feed, are above none: the
+references of each day and value are kept in the query's state, and only a value that
+comes or goes changes the figure. What a batch sends is a handful of rows a day;
+reading adds them up. No batch looks at the orders themselves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
+from tidemark.config import PipelineConfig
 from tidemark.functions import day_of
-from tidemark.operators.state import latest_versions, live
-from tidemark.plans.sales import daily_sales
-from tidemark.sinks.changelog import ChangeLog
-from tidemark.streaming.jobs import BatchWriter
+from tidemark.streaming.jobs import set_trigger
+from tidemark.streaming.retractions import WEIGHT, use_rocksdb
 
+#: What is counted of a day: its orders' customers and products.
+_KINDS = ("customer_id", "product_id")
+_MEASURES = ("orders", "items", "with_quantity", "customers", "products")
 _SCHEMA = T.StructType(
     [
         T.StructField("date", T.DateType()),
-        T.StructField("total_orders", T.LongType()),
-        T.StructField("total_items_sold", T.LongType()),
-        T.StructField("unique_customers", T.LongType()),
-        T.StructField("unique_products_sold", T.LongType()),
-        T.StructField("avg_items_per_order", T.DoubleType()),
+        *(T.StructField(m, T.LongType()) for m in _MEASURES),
         T.StructField("ckpt", T.IntegerType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
+_STEP = "date date, kind int, orders long, items long, with_quantity long, values long"
 
 
-def affected_days(before: DataFrame, changed: DataFrame) -> DataFrame:
-    """Days the changed orders were on, or are put on. At most one row per day.
+class References(StatefulProcessor):
+    """Keeps how many live rows of a day refer to a value; sends how the day's figures change."""
 
-    A change that loses to a newer row adds a day that need not be refreshed,
-    which does no harm.
-    """
-    on = day_of(F.col("order_time")).alias("date")
-    was = live(before).join(changed.select("id").distinct(), "id", "left_semi")
-    return was.select(on).unionByName(live(changed).select(on)).distinct()
+    def init(self, handle) -> None:
+        self._count = handle.getValueState("references", "n long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        date, kind, value = key
+        held = self._count.get()[0] if self._count.exists() else 0
+        orders = items = known = 0
+        for row in rows:
+            orders += row["weight"]
+            if row["quantity"] is not None:
+                items += row["weight"] * row["quantity"]
+                known += row["weight"]
+        now = held + orders
+        if now:
+            self._count.update((now,))
+        else:
+            self._count.clear()
+        values = ((now > 0) - (held > 0)) if value is not None else 0
+        if kind:  # sums are sent once, with the first kind
+            orders = items = known = 0
+        if orders or items or known or values:
+            yield Row(date=date, kind=kind, orders=orders, items=items, with_quantity=known, values=values)
+
+    def close(self) -> None:
+        pass
+
+
+def daily_steps(feed: DataFrame) -> DataFrame:
+    """A stream of orders' retractions as changes of the daily figures."""
+    use_rocksdb(feed.sparkSession)
+    kinds = F.array(*(F.struct(F.lit(i).alias("kind"), F.col(c).alias("value")) for i, c in enumerate(_KINDS)))
+    day = day_of(F.col("order_time")).alias("date")
+    rows = feed.select(day, F.inline(kinds), "quantity", F.col(WEIGHT).alias("weight"))
+    return rows.groupBy("date", "kind", "value").transformWithState(References(), _STEP, "append", "none")
 
 
-def metrics_writer(
-    changelog: ChangeLog,
-    metrics_path: str,
+def start_daily_sales(
+    feed: DataFrame,
+    path: str,
+    checkpoint: str,
+    config: PipelineConfig,
     ckpt: int = 1,
-    compact_every: int | None = None,
-    drop_folded: bool = False,
-) -> BatchWriter:
-    """Log each micro-batch, then refresh the days it touches.
-
-    Both writes own a folder named after the batch, so a replayed batch
-    replaces its own output. The batch is read back from the log instead of
-    from the topic. A day left without orders gets a row of zeros.
-    ``compact_every`` bounds how many batches are merged on read, and
-    ``drop_folded`` how many batch folders there are to list.
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Keep the daily figures of a stream of orders' retractions in the folder ``path``.
+
+    A batch owns its folder, so a batch that is done again replaces its steps.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        changelog.write_batch(batch, batch_id, ckpt)
-        before = changelog.state(through={ckpt: batch_id - 1}, others=True)
-        # Stays in the plan: times come from the wire, so days are not bounded.
-        days = affected_days(before, changelog.batch(batch_id, ckpt))
-        orders = changelog.live_on(days, {ckpt: batch_id}, others=True)
-        sales = daily_sales(orders).withColumnRenamed("date", "_date")
-        fresh = days.join(sales, F.col("date").eqNullSafe(F.col("_date")), "left")
-        (
-            fresh.fillna(0, ["total_orders", "total_items_sold"])
-            .select(*[f.name for f in _SCHEMA.fields if f.name not in ("ckpt", "batch_id")])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .parquet(f"{metrics_path}/ckpt={ckpt}/batch_id={batch_id}")
+
+    def write(steps: DataFrame, batch_id: int) -> None:
+        customers = F.sum(F.when(F.col("kind") == 0, F.col("values"))).alias("customers")
+        products = F.sum(F.when(F.col("kind") == 1, F.col("values"))).alias("products")
+        sums = (F.sum(m).alias(m) for m in ("orders", "items", "with_quantity"))
+        figures = steps.groupBy("date").agg(*sums, customers, products).fillna(0, list(_MEASURES))
+        # at most one row a day
+        figures.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{path}/ckpt={ckpt}/batch_id={batch_id}"
         )
-        changelog.maintain(batch_id, ckpt, compact_every, drop_folded)
 
-    return write
+    writer = (
+        daily_steps(feed)
+        .writeStream.queryName(f"daily sales {checkpoint}")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+    return set_trigger(writer, config, available_now).start()
 
 
-def read_daily_sales(spark: SparkSession, metrics_path: str) -> DataFrame:
-    """The newest figures of each day that has orders."""
-    rows = spark.read.schema(_SCHEMA).parquet(metrics_path)
-    versioned = rows.withColumns(
-        {
-            "_version": F.col("ckpt").cast("bigint"),
-            "partition": F.lit(0),
-            "offset": F.col("batch_id"),
-        }
+def read_daily_sales(spark: SparkSession, path: str, ckpt: int = 1) -> DataFrame:
+    """The figures of each day that has orders, as ``plans.sales.daily_sales`` gives them.
+
+    A new checkpoint version streams the feed anew, so versions are not added up.
+    """
+    rows = spark.read.schema(_SCHEMA).parquet(path).filter(F.col("ckpt") == ckpt)
+    summed = rows.groupBy("date").agg(*(F.sum(m).alias(m) for m in _MEASURES)).filter("orders > 0")
+    average = F.when(F.col("with_quantity") > 0, F.col("items") / F.col("with_quantity"))
+    return summed.select(
+        "date",
+        F.col("orders").alias("total_orders"),
+        F.when(F.col("with_quantity") > 0, F.col("items")).alias("total_items_sold"),
+        F.col("customers").alias("unique_customers"),
+        F.col("products").alias("unique_products_sold"),
+        average.alias("avg_items_per_order"),
     )
-    newest = latest_versions(versioned, key="date").filter(F.col("total_orders") > 0)
-    return newest.select(*[f.name for f in _SCHEMA.fields if f.name not in ("ckpt", "batch_id")])
