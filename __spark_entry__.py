@@ -27,7 +27,7 @@ from tidemark.operators import changes as change_ops
 from tidemark.operators import events, joins, ranking
 from tidemark.operators.decode import decode
 from tidemark.operators.state import current_rows, latest_versions, merge_changes
-from tidemark.plans import customers, health, products, quality, sales
+from tidemark.plans import customers, health, products, quality, sales, uniques
 from tidemark.session import let_workers_import, new_run_folder
 from tidemark.sinks.changelog import ChangeLog
 from tidemark.sinks.rollup import read_rollup, rebuild_rollup, roll_yesterday
@@ -377,6 +377,30 @@ def daily_rollup_read(spark: SparkSession, sf: str) -> DataFrame:
     return read_rollup(spark, path)
 
 
+def _kept_uniques(spark: SparkSession, sf: str) -> DataFrame:
+    """Bitmaps of all days, of the last one without some products at first; then that day done anew."""
+    orders = _orders(spark, sf)
+    path = new_run_folder(spark, "uniques")
+    clock = _order_clock(orders)
+    first = F.pmod(F.col("product_id"), F.lit(5)) != 0
+    old_day = (F.col("order_time") >= day_start(clock)) & ~first
+    uniques.rebuild_uniques(orders.filter(~old_day), path)
+    uniques.roll_uniques(orders, path, clock + MICROS_PER_DAY)
+    return uniques.read_uniques(spark, path)
+
+
+def monthly_uniques_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct customers and products of each month, from kept bitmaps of its days."""
+    month = F.year("date") * 100 + F.month("date")
+    return uniques.unique_counts(uniques.merged(_kept_uniques(spark, sf), month)).withColumnRenamed("period", "month")
+
+
+def weekly_uniques_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the week that begins on a Monday."""
+    week = F.trunc("date", "week")
+    return uniques.unique_counts(uniques.merged(_kept_uniques(spark, sf), week)).withColumnRenamed("period", "week")
+
+
 # -- customers and products -----------------------------------------------
 
 
@@ -590,6 +614,8 @@ _QUERIES: dict[str, Query] = {
     "hourly_panel": hourly_panel,
     "daily_rollup": daily_rollup,
     "daily_rollup_read": daily_rollup_read,
+    "monthly_uniques_kept": monthly_uniques_kept,
+    "weekly_uniques_kept": weekly_uniques_kept,
     "customer_metrics": customer_metrics,
     "top_customers": lambda s, d: customers.top_customers(customer_metrics(s, d)),
     "top_customers_10": lambda s, d: customers.top_customers_panel(customer_metrics(s, d)),
