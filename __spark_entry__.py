@@ -35,7 +35,9 @@ from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
 from tidemark.sources.tables import snapshot_in_order
 from tidemark.streaming.jobs import finish, log_writer, run_tables, start_table
 from tidemark.streaming.metrics import read_daily_sales, start_daily_sales
+from tidemark.streaming.progress import ProgressTable, read_progress, throughput
 from tidemark.streaming.retractions import read_feed, start_feed
+from tidemark.streaming.windows import read_hourly_orders, recent_minutes, start_hourly_orders
 
 try:
     import corpus_pipeline
@@ -324,6 +326,43 @@ def stream_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     return read_daily_sales(spark, f"{root}/daily")
 
 
+def stream_hourly_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours of the last day, from event-time windows over the retractions of the stream."""
+    root = new_run_folder(spark, "stream-hourly")
+    feed = _order_feed(spark, sf, root)
+    path = f"{root}/minutes"
+    start_hourly_orders(feed, path, f"{root}/checkpoints/hourly", PipelineConfig(), available_now=True).awaitTermination()
+    newest = recent_minutes(spark, path).agg(F.max("start_us")).scalar()
+    return read_hourly_orders(spark, path, newest)
+
+
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What the job over a topic with faults and repeated deliveries reported, per table."""
+    root = new_run_folder(spark, "stream-progress")
+    table = ProgressTable(spark, f"{root}/progress")
+    spark.streams.addListener(table)
+    try:
+        names = {}
+        for name in ("customers", "products"):
+            rows = fixtures.faulty_topic(spark, sf, name)
+            rows.write.parquet(f"{root}/topics/{name}/0")
+            source = read_topic_folder_stream(spark, f"{root}/topics/{name}/*", files_per_trigger=1)
+            again = rows.filter("offset % 7 = 0")  # delivered once more, in a later batch
+            again.write.parquet(f"{root}/topics/{name}/1")
+            changelog = ChangeLog(spark, f"{root}/{name}", fixtures.SPECS[name], buckets=8)
+            config = PipelineConfig(repeats_within="1 hour")
+            query = start_table(
+                source, fixtures.SPECS[name], log_writer(changelog, 1), f"{root}/checkpoints/{name}", config, available_now=True
+            )
+            query.awaitTermination()
+            table.wait_for(query.runId)
+            names[str(query.id)] = name
+    finally:
+        spark.streams.removeListener(table)
+    label = F.create_map(*(F.lit(x) for pair in names.items() for x in pair))[F.col("query_id")]
+    return throughput(read_progress(spark, table.path)).select(label.alias("table_name"), "rows", "rejected")
+
+
 # -- sales ----------------------------------------------------------------
 
 
@@ -605,6 +644,8 @@ _QUERIES: dict[str, Query] = {
     "stream_orders_log": stream_orders_log,
     "stream_all_tables": stream_all_tables,
     "stream_daily_sales": stream_daily_sales,
+    "stream_hourly_orders": stream_hourly_orders,
+    "stream_progress": stream_progress,
     "daily_sales": daily_sales,
     "daily_sales_30d": daily_sales_30d,
     "daily_sales_30d_kept": daily_sales_30d_kept,

@@ -1,6 +1,7 @@
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 from rows import bag, envelope, message, order, topic
 
 from tidemark import fixtures
@@ -8,7 +9,7 @@ from tidemark.config import JdbcTarget, PipelineConfig
 from tidemark.functions.times import MICROS_PER_DAY
 from tidemark.operators.changes import valid_changes
 from tidemark.operators.state import current_rows
-from tidemark.plans.sales import daily_sales
+from tidemark.plans.sales import daily_sales, hourly_orders
 from tidemark.schemas import ORDERS
 from tidemark.sinks.changelog import ChangeLog
 from tidemark.session import let_workers_import
@@ -23,7 +24,9 @@ from tidemark.streaming.jobs import (
     stop,
 )
 from tidemark.streaming.metrics import read_daily_sales, start_daily_sales
+from tidemark.streaming.progress import ProgressTable, read_progress, throughput
 from tidemark.streaming.retractions import net_rows, read_feed, start_feed
+from tidemark.streaming.windows import read_hourly_orders, start_hourly_orders
 
 CONFIG = PipelineConfig()
 
@@ -263,3 +266,85 @@ def test_a_daily_batch_that_is_done_again_changes_nothing(spark, tmp_path, monke
     assert bag(daily_of(spark, feed, str(tmp_path / "c2"), daily, files=100)) == before
     plan = read_daily_sales(spark, daily)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "topic" not in plan and "feed" not in plan
+
+
+def test_repeated_deliveries_are_dropped_before_the_sink(spark, tmp_path):
+    folder, ckpt = str(tmp_path / "topic"), str(tmp_path / "ckpt")
+    config = replace(CONFIG, repeats_within="1 hour")
+    changelog = ChangeLog(spark, str(tmp_path / "log"), ORDERS, buckets=2)
+
+    def deliver(*messages):
+        put(spark, folder, *messages)
+        source = read_topic_folder_stream(spark, folder, files_per_trigger=1)
+        query = start_table(source, ORDERS, log_writer(changelog, 1), ckpt, config, available_now=True)
+        query.awaitTermination()
+        return [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]][-1]
+
+    first = [created(1, 1, ts_ms=9), created(2, 2), created(2, 2), message("x", offset=3)]
+    assert deliver(*first) == 3
+    # the same again, a late older change, and a new one
+    assert deliver(*first, created(1, 4, ts_ms=3), created(3, 5)) == 5
+    assert sorted(r["offset"] for r in changelog.changes().collect()) == [1, 2, 4, 5]
+    assert {r["id"]: r["_version"] for r in changelog.current().collect()} == {1: 9, 2: 1, 3: 1}
+
+
+def test_state_of_repeats_does_not_grow(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    config = replace(CONFIG, repeats_within="0 seconds")
+    changelog = ChangeLog(spark, str(tmp_path / "log"), ORDERS, buckets=2)
+    for n in range(4):
+        put(spark, folder, *(created(10 * n + i, 10 * n + i) for i in range(10)))
+    source = read_topic_folder_stream(spark, folder, files_per_trigger=1)
+    query = start_table(source, ORDERS, log_writer(changelog, 1), str(tmp_path / "ckpt"), config, available_now=True)
+    query.awaitTermination()
+    assert changelog.changes().count() == 40
+    assert max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) < 40
+
+
+def test_hours_of_the_last_day_follow_the_stream(spark, tmp_path):
+    let_workers_import(spark)
+    folder, feed, minutes = (str(tmp_path / n) for n in ("topic", "feed", "minutes"))
+    hour = MICROS_PER_DAY // 24
+    clock = 10 * MICROS_PER_DAY + 5 * hour
+
+    def figures(now):
+        feed_of(spark, folder, str(tmp_path / "c1"), feed)
+        stream = read_feed(spark, feed, ORDERS, files_per_trigger=100)
+        query = start_hourly_orders(stream, minutes, str(tmp_path / "c2"), CONFIG, available_now=True)
+        query.awaitTermination()
+        rows = bag(read_hourly_orders(spark, minutes, F.lit(now)))
+        live = current_rows(valid_changes(read_topic_folder(spark, folder), ORDERS))
+        assert rows == bag(hourly_orders(live, F.lit(now)))
+        return query
+
+    put(spark, folder, created(1, 1, order_time=clock, quantity=3), created(2, 2, order_time=clock - 3 * hour, quantity=None),
+        created(3, 3, order_time=clock - 40 * hour), created(4, 4, order_time=clock - MICROS_PER_DAY), created(5, 5, order_time=None))
+    figures(clock)
+    # a late order, one that moves into the day, one that goes, and one long before all of them
+    put(spark, folder, created(6, 6, order_time=clock - 20 * hour), created(3, 7, ts_ms=2, order_time=clock - hour),
+        deleted(1, 8, ts_ms=2), created(7, 9, order_time=0))
+    figures(clock - hour)
+    put(spark, folder, created(8, 10, order_time=clock + 9 * MICROS_PER_DAY))
+    figures(clock + 9 * MICROS_PER_DAY)
+    put(spark, folder, created(9, 11, order_time=clock + 9 * MICROS_PER_DAY - hour))
+    query = figures(clock + 9 * MICROS_PER_DAY)
+    # older minutes are evicted
+    assert [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]][-1] <= 3
+
+
+def test_progress_is_kept_as_a_table(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    changelog = ChangeLog(spark, str(tmp_path / "log"), ORDERS, buckets=2)
+    put(spark, folder, created(1, 1), message("x", offset=2))
+    put(spark, folder, created(2, 3), created(3, 4), message(None, offset=5))
+    table = ProgressTable(spark, str(tmp_path / "progress"), every=1)
+    spark.streams.addListener(table)
+    try:
+        query = run(spark, folder, log_writer(changelog, 1), str(tmp_path / "ckpt"))
+        assert table.wait_for(query.runId)
+    finally:
+        spark.streams.removeListener(table)
+    rows = read_progress(spark, table.path).filter("input_rows > 0").orderBy("batch_id").collect()
+    assert sorted((r["rows"], r["rejected"]) for r in rows) == [(2, 1), (3, 1)]
+    total = throughput(read_progress(spark, table.path)).first()
+    assert (total["batches"], total["rows"], total["rejected"]) == (2, 5, 2) and total["rows_a_second"] > 0

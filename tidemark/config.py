@@ -59,9 +59,10 @@ class PipelineConfig:
     debug: bool = False
     long_ids: bool = False
     sink: str = "log"
-    compact_every: int | None = None
+    compact_every: int | None = 60
     drop_folded: bool = False
     tombstone_days: int | None = None
+    repeats_within: str | None = None
     jdbc: JdbcTarget | None = None
 
     @classmethod
@@ -90,9 +91,10 @@ class PipelineConfig:
             debug=switch("DEBUG_MODE"),
             long_ids=switch("LONG_IDS"),
             sink=env.get("CHANGE_SINK", base.sink),
-            compact_every=number("COMPACT_EVERY"),
+            compact_every=number("COMPACT_EVERY", base.compact_every),
             drop_folded=switch("DROP_FOLDED"),
             tombstone_days=number("TOMBSTONE_DAYS"),
+            repeats_within=env.get("REPEATS_WITHIN") or None,
         )
 
     def validate(self) -> PipelineConfig:

@@ -1,7 +1,7 @@
 """One streaming query per table: topic rows in, change log out.
 
-The path is map-only. Nothing is dropped for being late: versions decide, so no
-watermark is set.
+The path is map-only, unless repeated deliveries are to be dropped. Nothing is dropped
+for being late: versions decide.
 """
 
 from __future__ import annotations
@@ -58,6 +58,17 @@ def jdbc_writer(config: PipelineConfig, table: str) -> BatchWriter:
     return write
 
 
+def without_repeats(rows: DataFrame, within: str) -> DataFrame:
+    """Topic rows without those delivered again ``within`` a time of the first delivery.
+
+    The time is that of processing, so nothing is ever late and no change is lost, however
+    old; state is kept for that long only. What is repeated later passes, and versions
+    decide.
+    """
+    seen = rows.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", within)
+    return seen.dropDuplicatesWithinWatermark(["topic", "partition", "offset"]).drop("_seen")
+
+
 def start_table(
     rows: DataFrame,
     spec: TableSpec,
@@ -69,8 +80,11 @@ def start_table(
     """Start a table's query on a stream of topic rows.
 
     ``available_now`` works off what is there in micro-batches and stops. Row
-    counts appear as the observed metric ``changes`` of the query's progress.
+    counts appear as the observed metric ``changes`` of the query's progress. With
+    ``config.repeats_within`` repeated deliveries are dropped before anything else.
     """
+    if config.repeats_within:
+        rows = without_repeats(rows, config.repeats_within)
     triaged = triage(rows, spec).observe(
         "changes", F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected")
     )
