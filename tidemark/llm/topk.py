@@ -30,17 +30,14 @@ def quantised(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
     """``id`` and ``point``, floor(256 x) of each component, of rows that take part.
 
     Rows without an id, null vectors and those with a null or non-finite component
-    do not; rows alike in id and point are one.
+    do not. Repeated rows are rows.
     """
     usable = F.forall(
         vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
     point = F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
-    return (
-        rows.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & usable)
-        .select(F.col(id_col).cast("long").alias("id"), point.alias("point"))
-        .distinct()
-    )
+    kept = rows.filter(F.col(id_col).isNotNull() & F.col(vector).isNotNull() & usable)
+    return kept.select(F.col(id_col).cast("long").alias("id"), point.alias("point"))
 
 
 def _matrix(points: pa.ChunkedArray) -> np.ndarray:
@@ -186,8 +183,9 @@ def top_k(
     Scores are integer inner products of quantised vectors; equal ones are ranked
     by the smaller id. A query's candidates are all vectors but those with its id;
     it gets fewer than k if there are fewer. Vectors of unequal length are compared
-    as if filled up with zeros. Of several vectors with a query's id the smallest is
-    the query. Scores have to fit into 64 bits.
+    as if filled up with zeros. A repeated candidate has a place for each of its rows; of
+    several vectors with a query's id the smallest is the query, asked once. Scores have
+    to fit into 64 bits.
 
     Shards and blocks of queries have a bounded size; each block meets each shard.
     Points, trees and the answers of home shards are written to the shared folder.
@@ -204,7 +202,8 @@ def top_k(
     shards = max(1, -(-size // SHARD_POINTS))
     asked = quantised(queries, id_col, vector).groupBy("id").agg(F.min("point").alias("point"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    shard = F.pmod(F.xxhash64("id", "point"), F.lit(shards))
+    # by row, so that repeated rows are spread as well
+    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))
     planted = points.withColumn("shard", shard).groupBy("shard").applyInArrow(_plant, _TREE)
     trees = written(planted, "trees")
     home = F.pmod(F.xxhash64("id"), F.lit(shards))
