@@ -26,13 +26,15 @@ from tidemark.functions.times import MICROS_PER_DAY, day_start
 from tidemark.operators import changes as change_ops
 from tidemark.operators import events, joins, ranking
 from tidemark.operators.decode import decode
+from tidemark.operators.drift import drift
+from tidemark.operators.snapshot import settled_chunk
 from tidemark.operators.state import current_rows, latest_versions, merge_changes
 from tidemark.plans import customers, health, products, quality, sales, uniques
 from tidemark.session import let_workers_import, new_run_folder
 from tidemark.sinks.changelog import ChangeLog
 from tidemark.sinks.rollup import read_rollup, rebuild_rollup, roll_yesterday
 from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
-from tidemark.sources.tables import snapshot_in_order
+from tidemark.sources.tables import key_bounds, range_of, snapshot_in_order
 from tidemark.streaming.jobs import finish, log_writer, run_tables, start_table
 from tidemark.streaming.metrics import read_daily_sales, start_daily_sales
 from tidemark.streaming.progress import ProgressTable, read_progress, throughput
@@ -150,6 +152,12 @@ def cdc_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     return events.all_topics(*parts)
 
 
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Departures of all three topics from their schemas."""
+    parts = [drift(fixtures.drifted_topic(spark, sf, n), spec) for n, spec in fixtures.SPECS.items()]
+    return events.all_topics(*parts)
+
+
 def decimal_decode(spark: SparkSession, sf: str) -> DataFrame:
     price = F.col("p_retailprice").cast("decimal(10,2)")
     coded = fixtures.table(spark, sf, "part").select(
@@ -210,6 +218,35 @@ def snapshot_merge_customers(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(current_rows(log).select(*columns), "created_at")
 
 
+def snapshot_chunks_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Live orders from a snapshot in four chunks, each read at another time, and the changes since the first.
+
+    The source at a time is what the changes up to it amount to.
+    """
+    spec, log = fixtures.WIDE_ORDERS, fixtures.changes(spark, sf, "orders")
+    bounds = key_bounds(log.select("id"), 4)
+    times = log.agg(F.approx_percentile("_version", [0.2, 0.35, 0.5, 0.65])).first()[0]
+    margin = 5 * 86_400_000
+    chunks = []
+    for n, at in enumerate(times):
+        source = current_rows(log.filter(F.col("_version") <= at))
+        chunk = source.filter(range_of(F.col("id"), bounds) == n)
+        chunks.append(settled_chunk(chunk, log, spec, at - margin, at + margin))
+    since = log.filter(F.col("_version") > times[0] - margin)
+    columns = ("id", "customer_id", "product_id", "quantity", "order_time")
+    return _shown(current_rows(events.all_topics(since, *chunks)).select(*columns), "order_time")
+
+
+def order_key_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Sixteen key ranges over ids of which most lie close together: rows, ranges, and whether none is large."""
+    near = F.when(F.col("id") % 10 == 0, F.col("id") * 1000).otherwise(F.col("id"))
+    rows = fixtures.changes(spark, sf, "orders").select("id").distinct().select(near.alias("id"))
+    bounds = key_bounds(rows, 16)
+    sizes = rows.groupBy(range_of(F.col("id"), bounds).alias("range")).agg(F.count(F.lit(1)).alias("n"))
+    even = F.max("n") <= 2 * F.sum("n") / F.count(F.lit(1))
+    return sizes.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ranges"), even.alias("even"))
+
+
 def current_products(spark: SparkSession, sf: str) -> DataFrame:
     columns = ("id", "name", "price", "created_at")
     return _shown(_products(spark, sf).select(*columns), "created_at")
@@ -631,6 +668,7 @@ _QUERIES: dict[str, Query] = {
     "cdc_flatten_debug": cdc_flatten_debug,
     "cdc_valid": cdc_valid,
     "cdc_quarantine_counts": cdc_quarantine_counts,
+    "schema_drift": schema_drift,
     "decimal_decode": decimal_decode,
     "utf8_decode": utf8_decode,
     "events_props_json": events_props_json,
@@ -639,6 +677,8 @@ _QUERIES: dict[str, Query] = {
     "current_customers": current_customers,
     "current_products": current_products,
     "snapshot_merge_customers": snapshot_merge_customers,
+    "snapshot_chunks_orders": snapshot_chunks_orders,
+    "order_key_ranges": order_key_ranges,
     "merge_incremental": merge_incremental,
     "compact_orders": compact_orders,
     "stream_orders_log": stream_orders_log,

@@ -176,6 +176,24 @@ def faulty_topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _as_topic(rows, spec, value.otherwise(text))
 
 
+#: Fields of which the drifted topics change the type.
+RETYPED = {"orders": "quantity", "customers": "created_at", "products": "created_at"}
+
+
+def drifted_topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The topic with departures from its schema put in by offset, one kind per remainder of 19."""
+    spec = SPECS[name]
+    rows = _ROWS[name](spark, sf_dir)
+    text, kind, field = _envelope_text(rows, spec), F.col("offset") % 19, RETYPED[name]
+    value = (
+        F.when(kind == 6, F.replace(text, F.lit('"after":{'), F.lit('"after":{"channel":"web",')))
+        .when(kind == 7, F.regexp_replace(text, f'"{field}":(-?[0-9]+)', f'"{field}":"$1"'))
+        .when(kind == 8, F.regexp_replace(text, f',"{field}":-?[0-9]+', ""))
+        .when(kind == 9, "not json")
+    )
+    return _as_topic(rows, spec, value.otherwise(text))
+
+
 def event_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as topic rows, one topic per event type.
 
