@@ -26,9 +26,10 @@ from tidemark.functions.times import MICROS_PER_DAY, day_start
 from tidemark.operators import changes as change_ops
 from tidemark.operators import events, joins, ranking
 from tidemark.operators.decode import decode
+from tidemark.operators.deltas import applied, enriched_delta, table_delta
 from tidemark.operators.drift import drift
 from tidemark.operators.snapshot import settled_chunk
-from tidemark.operators.state import current_rows, latest_versions, merge_changes
+from tidemark.operators.state import current_rows, latest_versions, live, merge_changes
 from tidemark.plans import customers, health, products, quality, sales, uniques
 from tidemark.session import let_workers_import, new_run_folder
 from tidemark.sinks.changelog import ChangeLog
@@ -36,6 +37,13 @@ from tidemark.sinks.rollup import read_rollup, rebuild_rollup, roll_yesterday
 from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
 from tidemark.sources.tables import key_bounds, range_of, snapshot_in_order
 from tidemark.streaming.jobs import finish, log_writer, run_tables, start_table
+from tidemark.streaming.live import (
+    read_leaders,
+    read_orphans,
+    references,
+    start_leaders,
+    start_orphans,
+)
 from tidemark.streaming.metrics import read_daily_sales, start_daily_sales
 from tidemark.streaming.progress import ProgressTable, read_progress, throughput
 from tidemark.streaming.retractions import read_feed, start_feed
@@ -344,12 +352,13 @@ def stream_all_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _order_feed(spark: SparkSession, sf: str, root: str) -> DataFrame:
-    """The orders topic through the retraction job; its feed as a stream of a few batches."""
+def _feed(spark: SparkSession, sf: str, root: str, name: str = "orders") -> DataFrame:
+    """A table's topic through the retraction job; its feed as a stream of a few batches."""
     let_workers_import(spark)
-    source = _staged_stream(spark, fixtures.topic(spark, sf, "orders"), f"{root}/topic")
-    spec, feed = fixtures.WIDE_ORDERS, f"{root}/feed"
-    start_feed(source, spec, feed, f"{root}/checkpoints/feed", PipelineConfig(), available_now=True).awaitTermination()
+    source = _staged_stream(spark, fixtures.topic(spark, sf, name), f"{root}/topics/{name}")
+    spec, feed = fixtures.SPECS[name], f"{root}/feeds/{name}"
+    checkpoint = f"{root}/checkpoints/feeds/{name}"
+    start_feed(source, spec, feed, checkpoint, PipelineConfig(), available_now=True).awaitTermination()
     files = len(spark.read.parquet(feed).inputFiles())
     return read_feed(spark, feed, spec, files_per_trigger=max(1, -(-files // 3)))
 
@@ -357,7 +366,7 @@ def _order_feed(spark: SparkSession, sf: str, root: str) -> DataFrame:
 def stream_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     """Daily sales kept from the retractions of the stream of order changes."""
     root = new_run_folder(spark, "stream-daily")
-    feed = _order_feed(spark, sf, root)
+    feed = _feed(spark, sf, root)
     query = start_daily_sales(feed, f"{root}/daily", f"{root}/checkpoints/daily", PipelineConfig(), available_now=True)
     query.awaitTermination()
     return read_daily_sales(spark, f"{root}/daily")
@@ -366,13 +375,32 @@ def stream_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
 def stream_hourly_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Hours of the last day, from event-time windows over the retractions of the stream."""
     root = new_run_folder(spark, "stream-hourly")
-    feed = _order_feed(spark, sf, root)
+    feed = _feed(spark, sf, root)
     path = f"{root}/minutes"
     start_hourly_orders(feed, path, f"{root}/checkpoints/hourly", PipelineConfig(), available_now=True).awaitTermination()
     newest = recent_minutes(spark, path).agg(F.max("start_us")).scalar()
     return read_hourly_orders(spark, path, newest)
 
 
+def stream_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """Parents that are missing and how many live orders refer to them, kept from three feeds."""
+    root = new_run_folder(spark, "stream-orphans")
+    parents = {n: (c, _feed(spark, sf, root, n)) for n, c in (("customers", "customer_id"), ("products", "product_id"))}
+    rows = references(_feed(spark, sf, root), parents)
+    path = f"{root}/orphans"
+    start_orphans(rows, path, f"{root}/checkpoints/orphans", PipelineConfig(), available_now=True).awaitTermination()
+    return read_orphans(spark, path)
+
+
+def stream_top_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """The fifty customers with most orders, kept from the feeds of orders and customers."""
+    root = new_run_folder(spark, "stream-leaders")
+    rows = references(_feed(spark, sf, root), {"customers": ("customer_id", _feed(spark, sf, root, "customers"))})
+    path = f"{root}/leaders"
+    start_leaders(rows, path, f"{root}/checkpoints/leaders", PipelineConfig(), available_now=True).awaitTermination()
+    return read_leaders(spark, path).withColumnRenamed("id", "customer_id")
+
+
 def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     """What the job over a topic with faults and repeated deliveries reported, per table."""
     root = new_run_folder(spark, "stream-progress")
@@ -582,6 +610,17 @@ def orders_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return joins.enrich_orders(t["orders"], t["customers"], t["products"])
 
 
+def enriched_by_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """Enriched orders of the older half of each log, brought up to date by the delta of the newer half."""
+    tables = []
+    for name in ("orders", "customers", "products"):
+        log = fixtures.changes(spark, sf, name)
+        middle = log.agg(F.avg("_version")).scalar()
+        before = latest_versions(log.filter(F.col("_version") <= middle))
+        tables.append((live(before), table_delta(before, log.filter(F.col("_version") > middle))))
+    return applied(joins.enrich_orders(*(rows for rows, _ in tables)), enriched_delta(*tables))
+
+
 def recent_orders(spark: SparkSession, sf: str) -> DataFrame:
     rows = ranking.top(orders_enriched(spark, sf), "order_time", "id", 10)
     return rows.drop("total_amount")
@@ -686,6 +725,8 @@ _QUERIES: dict[str, Query] = {
     "stream_daily_sales": stream_daily_sales,
     "stream_hourly_orders": stream_hourly_orders,
     "stream_progress": stream_progress,
+    "stream_orphans": stream_orphans,
+    "stream_top_customers": stream_top_customers,
     "daily_sales": daily_sales,
     "daily_sales_30d": daily_sales_30d,
     "daily_sales_30d_kept": daily_sales_30d_kept,
@@ -721,6 +762,7 @@ _QUERIES: dict[str, Query] = {
     "event_counts_by_table": event_counts_by_table,
     "event_counts_by_op": event_counts_by_op,
     "orders_enriched": orders_enriched,
+    "enriched_by_deltas": enriched_by_deltas,
     "recent_orders": recent_orders,
     "customers_without_orders": customers_without_orders,
     "products_without_orders": products_without_orders,

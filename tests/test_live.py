@@ -1,0 +1,205 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from rows import bag, change, envelope, flat, message, money, order, topic
+
+from tidemark.config import PipelineConfig
+from tidemark.operators.changes import valid_changes
+from tidemark.operators.deltas import applied, enriched_delta, table_delta
+from tidemark.operators.joins import enrich_orders
+from tidemark.operators.state import current_rows, latest_versions, live
+from tidemark.plans.quality import orphans
+from tidemark.schemas import CUSTOMERS, ORDERS, PRODUCTS
+from tidemark.session import let_workers_import
+from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
+from tidemark.streaming.live import Leaders, read_leaders, read_orphans, references, start_leaders, start_orphans
+from tidemark.streaming.retractions import read_feed, start_feed
+
+CONFIG = PipelineConfig()
+SPECS = {"orders": ORDERS, "customers": CUSTOMERS, "products": PRODUCTS}
+
+
+# -- delta rules ----------------------------------------------------------
+
+
+def random_changes(dice, name, version, count):
+    def columns():
+        if name == "orders":
+            return dict(customer_id=dice.randrange(6), product_id=dice.randrange(6), quantity=dice.randrange(1, 4), order_time=0)
+        if name == "customers":
+            return dict(name=f"n{dice.randrange(4)}", email="e", created_at=0)
+        return dict(name=f"p{dice.randrange(4)}", price=None, created_at=0)
+
+    for at in range(count):
+        gone = dice.random() < 0.25
+        key = dice.randrange(25 if name == "orders" else 7)
+        yield change(key, version + at, deleted=int(gone), offset=1000 * version + at, **({} if gone else columns()))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_deltas_of_a_join_add_up(spark, seed):
+    dice = random.Random(seed)
+    logs = {n: list(random_changes(dice, n, 1, 60)) for n in SPECS}
+    more = {n: list(random_changes(dice, n, 40, 25)) for n in SPECS}  # some of them late
+    tables = []
+    for name, spec in SPECS.items():
+        before = latest_versions(flat(spark, spec, *logs[name]))
+        tables.append((live(before), table_delta(before, flat(spark, spec, *more[name]))))
+    old = enrich_orders(*(rows for rows, _ in tables))
+    now = [current_rows(flat(spark, spec, *logs[n], *more[n])) for n, spec in SPECS.items()]
+    delta = enriched_delta(*tables)
+    assert bag(applied(old, delta)) == bag(enrich_orders(*now))
+    # no row is both taken out and put in
+    assert delta.groupBy([c for c in delta.columns if c != "_weight"]).count().filter("count > 1").count() == 0
+    nothing = [(rows, changes.limit(0)) for rows, changes in tables]
+    assert enriched_delta(*nothing).count() == 0
+
+
+# -- streams --------------------------------------------------------------
+
+
+def put(spark, folder, *messages):
+    topic(spark, *messages).coalesce(1).write.mode("append").parquet(folder)
+
+
+class Shop:
+    """Topics of a small shop, their feeds, and what is kept from them."""
+
+    def __init__(self, spark, root):
+        let_workers_import(spark)
+        self.spark, self.root, self.offset = spark, root, 0
+
+    def send(self, name, op, row, ts_ms):
+        self.offset += 1
+        body = envelope(op, before=row, ts_ms=ts_ms) if op == "d" else envelope(op, after=row, ts_ms=ts_ms)
+        put(self.spark, f"{self.root}/topics/{name}", message(body, offset=self.offset))
+
+    def live(self, name):
+        return current_rows(valid_changes(read_topic_folder(self.spark, f"{self.root}/topics/{name}"), SPECS[name]))
+
+    def feed(self, name):
+        source = read_topic_folder_stream(self.spark, f"{self.root}/topics/{name}", files_per_trigger=100)
+        path = f"{self.root}/feeds/{name}"
+        start_feed(source, SPECS[name], path, f"{self.root}/c/{name}", CONFIG, available_now=True).awaitTermination()
+        return read_feed(self.spark, path, SPECS[name], files_per_trigger=100)
+
+
+def customer(id):
+    return {"id": id, "name": f"c{id}", "email": "e", "created_at": 0}
+
+
+def product(id):
+    return {"id": id, "name": f"p{id}", "price": money(100), "created_at": 0}
+
+
+def test_orphans_follow_all_three_tables(spark, tmp_path):
+    shop = Shop(spark, str(tmp_path))
+
+    def check():
+        feeds = {n: (c, shop.feed(n)) for n, c in (("customers", "customer_id"), ("products", "product_id"))}
+        rows = references(shop.feed("orders"), feeds)
+        start_orphans(rows, f"{tmp_path}/orphans", f"{tmp_path}/c/orphans", CONFIG, available_now=True).awaitTermination()
+        parents = {n: (c, shop.live(n)) for n, c in (("customers", "customer_id"), ("products", "product_id"))}
+        want = orphans(shop.live("orders"), parents).groupBy("missing_parent", "parent_id").agg(F.count("*").alias("orders"))
+        got = read_orphans(spark, f"{tmp_path}/orphans")
+        assert bag(got) == bag(want)
+        return {(r[0], r[1]): r[2] for r in got.collect()}
+
+    shop.send("customers", "c", customer(1), 1)
+    shop.send("products", "c", product(1), 1)
+    for n, (c, p) in enumerate([(1, 1), (2, 1), (2, 9), (None, 9)]):
+        shop.send("orders", "c", order(n, customer_id=c, product_id=p), 1)
+    assert check() == {("customers", 2): 2, ("products", 9): 2}
+    shop.send("customers", "d", customer(1), 2)  # a parent goes
+    shop.send("customers", "c", customer(2), 2)  # one comes late
+    shop.send("orders", "u", order(2, customer_id=2, product_id=1), 2)  # a child moves
+    shop.send("orders", "d", order(3), 2)
+    assert check() == {("customers", 1): 1}
+
+
+class Kept:
+    """State handles in memory, for a processor on its own."""
+
+    def __init__(self):
+        self.value, self.map = None, {}
+
+    def getMapState(self, name, key, value):
+        owner = self.map
+
+        class Totals:
+            getValue = staticmethod(lambda key: owner[key])
+            containsKey = staticmethod(lambda key: key in owner)
+            updateValue = staticmethod(lambda key, value: owner.__setitem__(key, value))
+            removeKey = staticmethod(lambda key: owner.__delitem__(key))
+            scans = 0
+
+            @staticmethod
+            def iterator():
+                Totals.scans += 1
+                return iter(list(owner.items()))
+
+        self.totals = Totals
+        return Totals
+
+    def getValueState(self, name, schema):
+        kept = self
+
+        class Top:
+            exists = staticmethod(lambda: kept.value is not None)
+            get = staticmethod(lambda: kept.value)
+            update = staticmethod(lambda value: setattr(kept, "value", value))
+
+        return Top
+
+
+@pytest.mark.parametrize("reserve", [0, 2, 30])
+def test_leaders_stay_exact_when_the_first_fall_behind(reserve):
+    dice, kept, leaders = random.Random(reserve), Kept(), Leaders(5, reserve)
+    leaders.init(kept)
+    totals, shown = {}, []
+    for turn in range(300):
+        rows = []
+        for _ in range(dice.randrange(1, 4)):
+            # customers with many orders lose them more often
+            id = dice.randrange(20) if dice.random() < 0.6 or not shown else shown[0][0]
+            refs, items, alive = totals.get(id, (0, 0, 0))
+            step = dice.choice([-1, 1, 2]) if refs else 1
+            born = 1 if not alive else (-1 if dice.random() < 0.1 else 0)
+            totals[id] = (refs + step, items + step, alive + born)
+            rows.append({"id": id, "refs": step, "items": step, "live": born})
+        out = list(leaders.handleInputRows((0,), iter(rows), None))
+        if out:
+            assert out[-1]["id"] is None and [r["at"] for r in out] == list(range(len(out)))
+            shown = [(r["id"], r["refs"], r["items"]) for r in out[:-1]]
+        counted = sorted((-r, i, n) for i, (r, n, alive) in totals.items() if r > 0 and alive > 0)[:5]
+        assert shown == [(i, -r, n) for r, i, n in counted]
+    assert (kept.totals.scans > 0) == (reserve < 30) and kept.totals.scans < 150
+
+
+def test_leading_customers_follow_the_stream(spark, tmp_path):
+    shop = Shop(spark, str(tmp_path))
+
+    def check():
+        rows = references(shop.feed("orders"), {"customers": ("customer_id", shop.feed("customers"))})
+        path = f"{tmp_path}/leaders"
+        query = start_leaders(rows, path, f"{tmp_path}/c/leaders", CONFIG, k=2, reserve=1, slots=2, available_now=True)
+        query.awaitTermination()
+        who = shop.live("customers").select(F.col("id").alias("customer_id"))
+        sums = shop.live("orders").join(who, "customer_id").groupBy("customer_id")
+        want = sums.agg(F.count("*").alias("n"), F.sum("quantity").alias("q")).orderBy(F.desc("n"), "customer_id").limit(2)
+        got = [tuple(r) for r in read_leaders(spark, path, 2).collect()]
+        assert got == [tuple(r) for r in want.collect()]
+        return [r[0] for r in got]
+
+    for n in range(4):
+        shop.send("customers", "c", customer(n), 1)
+    for n, c in enumerate([3, 3, 3, 2, 2, 1, 0, 8, 8, 8, 8]):
+        shop.send("orders", "c", order(n, customer_id=c, quantity=n), 1)
+    assert check() == [3, 2]
+    shop.send("customers", "d", customer(3), 2)
+    shop.send("orders", "d", order(3), 2)
+    shop.send("orders", "d", order(4), 2)
+    assert check() == [0, 1]
+    shop.send("customers", "c", customer(8), 3)
+    assert check() == [8, 0]

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import utc_timestamp
 
 
-def enrich_orders(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Each live order with its live customer and product.
+def enrich_orders(
+    orders: DataFrame, customers: DataFrame, products: DataFrame, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Each live order with its live customer and product, and the columns to ``carry`` along.
 
     The order side may be skewed towards one customer or product; adaptive
     execution splits such partitions, and the other side of each join is unique.
@@ -18,15 +22,19 @@ def enrich_orders(orders: DataFrame, customers: DataFrame, products: DataFrame)
         F.col("id").alias("customer_id"),
         F.col("name").alias("customer_name"),
         F.col("email").alias("customer_email"),
+        *(c for c in carry if c in customers.columns),
     )
     item = products.select(
         F.col("id").alias("product_id"),
         F.col("name").alias("product_name"),
         F.col("price").alias("product_price"),
+        *(c for c in carry if c in products.columns),
     )
     total = (F.col("quantity") * F.col("product_price")).cast("decimal(20,2)")
     return (
-        orders.select("id", "customer_id", "product_id", "quantity", "order_time")
+        orders.select(
+            "id", "customer_id", "product_id", "quantity", "order_time", *(c for c in carry if c in orders.columns)
+        )
         .join(item, "product_id")
         .join(buyer, "customer_id")
         .select(
@@ -38,6 +46,7 @@ def enrich_orders(orders: DataFrame, customers: DataFrame, products: DataFrame)
             "product_name",
             "product_price",
             total.alias("total_amount"),
+            *carry,
         )
     )
 
