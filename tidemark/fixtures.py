@@ -151,17 +151,22 @@ def _as_topic(rows: DataFrame, spec: TableSpec, value: Column) -> DataFrame:
 SPECS = {"orders": WIDE_ORDERS, "customers": WIDE_CUSTOMERS, "products": WIDE_PRODUCTS}
 
 
+def _keyed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's changes as a topic deals them out: all of a key together."""
+    return _ROWS[name](spark, sf_dir).repartition("id")
+
+
 def topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table's changes as topic rows."""
     spec = SPECS[name]
-    rows = _ROWS[name](spark, sf_dir)
+    rows = _keyed(spark, sf_dir, name)
     return _as_topic(rows, spec, _envelope_text(rows, spec))
 
 
 def faulty_topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The topic with faults put in by offset, one kind per remainder of 19."""
     spec = SPECS[name]
-    rows = _ROWS[name](spark, sf_dir)
+    rows = _keyed(spark, sf_dir, name)
     text = _envelope_text(rows, spec)
     fault = F.col("offset") % 19
     value = (
@@ -183,7 +188,7 @@ RETYPED = {"orders": "quantity", "customers": "created_at", "products": "created
 def drifted_topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The topic with departures from its schema put in by offset, one kind per remainder of 19."""
     spec = SPECS[name]
-    rows = _ROWS[name](spark, sf_dir)
+    rows = _keyed(spark, sf_dir, name)
     text, kind, field = _envelope_text(rows, spec), F.col("offset") % 19, RETYPED[name]
     value = (
         F.when(kind == 6, F.replace(text, F.lit('"after":{'), F.lit('"after":{"channel":"web",')))
