@@ -269,10 +269,13 @@ def _asked(queries: DataFrame, id_col: str, text: str) -> DataFrame:
 _FOUND = "query long, absent long, doc_id long, score long"
 
 
-def _searched(postings: DataFrame, segments: DataFrame, queries: DataFrame, facts: tuple[int, int], k: int) -> DataFrame:
+def _searched(
+    postings: DataFrame, wanted: DataFrame, segments: DataFrame, queries: DataFrame, facts: tuple[int, int], k: int
+) -> DataFrame:
     """The ``k`` best of each query (``words`` with weights, ``floor``) in each segment.
 
     A task holds a segment's documents, the queries of one block, and their postings.
+    ``wanted`` has the terms of each block.
     """
 
     def search(lists: pa.Table, asked: pa.Table) -> pa.Table:
@@ -291,7 +294,6 @@ def _searched(postings: DataFrame, segments: DataFrame, queries: DataFrame, fact
                     column.extend(values)
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(_columns(_FOUND), found)})
 
-    wanted = queries.select("block", F.explode("words.term").alias("term")).distinct()
     lists = postings.join(wanted, "term").select("segment", "block", "term", "docs", "counts")
     # a block of the stated queries, about QUERIES of them, goes to every segment
     packed = queries.groupBy(F.col("block").alias("of")).agg(F.collect_list(F.struct("query", "words", "floor")).alias("queries"))
@@ -337,14 +339,16 @@ def search(
     weighted = words.join(weights, "term").groupBy("query").agg(F.collect_list(F.struct("term", "weight")).alias("words"))
     block = F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")
     ready = kept(weighted.withColumn("block", block), "queries")
+    # a table of its own, so that Spark knows its size and moves it to the postings if it is small
+    wanted = kept(ready.select("block", F.explode("words.term").alias("term")).distinct(), "wanted")
     early = F.pmod(F.xxhash64("segment"), F.lit(FIRST)) == 0
     facts = (documents, length)
     first = ready.withColumn("floor", F.lit(1).cast("long"))
-    near = kept(_searched(postings.filter(early), segments.filter(early), first, facts, k), "near")
+    near = kept(_searched(postings.filter(early), wanted, segments.filter(early), first, facts, k), "near")
     by_score = Window.partitionBy("query").orderBy(F.desc("score"))
     kth = near.withColumn("at", F.row_number().over(by_score)).filter(F.col("at") == k)
     floors = ready.join(kth.select("query", F.col("score").alias("floor")), "query", "left").fillna(1, "floor")
-    found = near.unionByName(_searched(postings.filter(~early), segments.filter(~early), floors, facts, k))
+    found = near.unionByName(_searched(postings.filter(~early), wanted, segments.filter(~early), floors, facts, k))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "absent", "doc_id")
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     named = best.join(asked.select("query", "item"), "query")
