@@ -305,22 +305,16 @@ def _components(docs: DataFrame, columns: list[str], words: int, radius: int) ->
     """``columns``, ``fingerprint``, ``root`` (a fingerprint that names the component) and ``component_id``."""
     spark = docs.sparkSession
     folder = new_run_folder(spark, "simhash")
-
-    def written(part: DataFrame, name: str) -> DataFrame:
-        part.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
-    prints = written(fingerprints(docs, columns, "__text", words), "prints")
+    fingerprints(docs, columns, "__text", words).write.parquet(folder)
+    prints = spark.read.parquet(folder)
     distinct = prints.groupBy("fingerprint").agg(F.min("__id").alias("first"))
     stars = groups_of(near_links(distinct.select("fingerprint"), radius))
     root = F.coalesce("b", "fingerprint").alias("root")
     labelled = distinct.join(stars, F.col("fingerprint") == F.col("a"), "left").select(
         "fingerprint", "first", root
     )
-    labelled = written(labelled, "labelled")
-    smallest = written(labelled.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    # written, so that Spark can split what a frequent fingerprint or root has on the other side
-    component = written(labelled.join(smallest, "root").select("fingerprint", "root", "component_id"), "components")
+    smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
+    component = labelled.join(smallest, "root").select("fingerprint", "root", "component_id")
     return prints.join(component, "fingerprint").select(*columns, "fingerprint", "root", "component_id")
 
 
@@ -335,10 +329,9 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     own, body = (F.col(names[docs.columns.index(c)]) for c in (id_col, text))
     hashed = plain.withColumns({"__id": own, "__text_hash": F.xxhash64(F.coalesce(body, F.lit("")))})
     folder, row = new_run_folder(spark, "rows"), ["__id", "__text_hash"]
-    _components(hashed.select(*row, body.alias("__text")), row, SHINGLE_WORDS, RADIUS).write.parquet(f"{folder}/rows")
-    found = spark.read.parquet(f"{folder}/rows").select("root", F.struct(F.isnull("__id").alias("absent"), *row).alias("row"))
-    found.groupBy("root").agg(F.min("row").alias("first")).write.parquet(f"{folder}/firsts")
-    first = spark.read.parquet(f"{folder}/firsts")
+    _components(hashed.select(*row, body.alias("__text")), row, SHINGLE_WORDS, RADIUS).write.parquet(folder)
+    found = spark.read.parquet(folder).select("root", F.struct(F.isnull("__id").alias("absent"), *row).alias("row"))
+    first = found.groupBy("root").agg(F.min("row").alias("first"))
     others = found.join(first, "root").filter(~F.col("row").eqNullSafe(F.col("first"))).select("row.*").distinct()
     gone = others.select(F.col("__id").alias("gone_id"), F.col("__text_hash").alias("gone_hash"))
     same = F.col("__id").eqNullSafe(F.col("gone_id")) & (F.col("__text_hash") == F.col("gone_hash"))
