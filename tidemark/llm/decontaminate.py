@@ -16,10 +16,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import bound_batches, slices
+from tidemark.session import delete_folder, new_run_folder
 
 WINDOW = 10
 #: Text of benchmark items that one pass over the documents searches for. Larger
@@ -210,7 +212,7 @@ def _merged(spans: list[int]) -> list[int]:
 
 
 def _pass_over(
-    rows: DataFrame, carried: int, windows: Windows, chunk_bytes: int, cutting: bool = False
+    rows: DataFrame, carried: int, handed: Broadcast[Windows], chunk_bytes: int, cutting: bool = False
 ) -> DataFrame:
     """One pass: finds the windows and adds to the spans and items of each row.
 
@@ -218,7 +220,6 @@ def _pass_over(
     """
     names = rows.columns
     bound_batches(rows.sparkSession)
-    handed = rows.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,7 +285,14 @@ def contamination(
     counts as the empty string. Repeated items count once; repeated rows of
     documents each get their result. An empty benchmark hits nothing. The text is
     returned as ``text``, whatever its name was, and without the spans if ``cutting``.
+
+    A benchmark of several blocks takes a pass for each. What a pass found is written to
+    the shared folder, and its block is given back before the next is made, so no
+    process holds two of them.
     """
+    spark = docs.sparkSession
+    folder = new_run_folder(spark, "windows")
+    before = None
     rows = docs.select(
         *columns,
         F.coalesce(F.col(text), F.lit("")).alias("text"),
@@ -292,9 +300,17 @@ def contamination(
         F.array().cast("array<int>").alias("word_spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    for block, last in benchmark_blocks(benchmark, item_id, item_text, block_chars):
-        windows = Windows([tuple(r) for r in block], size)
-        rows = _pass_over(rows, len(columns), windows, chunk_bytes, cutting and last)
+    for number, (block, last) in enumerate(benchmark_blocks(benchmark, item_id, item_text, block_chars)):
+        handed = spark.sparkContext.broadcast(Windows([tuple(r) for r in block], size))
+        rows = _pass_over(rows, len(columns), handed, chunk_bytes, cutting and last)
+        if not last:
+            written = f"{folder}/{number}"
+            rows.write.parquet(written)
+            handed.destroy()
+            rows = spark.read.parquet(written)
+            if before:
+                delete_folder(spark, before)
+            before = written
     return rows
 
 
