@@ -25,6 +25,10 @@ from tidemark.session import new_run_folder
 
 #: Bytes after which a task begins another archive.
 ARCHIVE_BYTES = 32 << 20
+#: Bytes of archives that a task reads, one archive after the other.
+READ_BYTES = 256 << 20
+#: Captures in a range of the global order; its task holds about so many at once.
+RANGE_CAPTURES = 50_000
 LEVEL = 3
 #: Captures without a time of their own get this one and a second for each id.
 FIRST_CAPTURE = datetime(2020, 1, 1, tzinfo=UTC)
@@ -106,7 +110,7 @@ def _members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str, url: str, html: str) -> DataFrame:
-    """Writes all pages as records; ``run``, the path of each archive, is returned.
+    """Writes all pages as records; ``run`` and ``size``, path and bytes of each archive, are returned.
 
     Of equal payloads that with the largest id is a response and the others revisit
     it; a null payload is empty, a null URL too. Rows with the largest id repeated
@@ -133,6 +137,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str, url: str, html: s
     filesystem, path = filesystem_path(folder)
     filesystem.create_dir(path, recursive=True)
 
+    def listed(path: str, size: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size])], names=["run", "size"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = filesystem_path(folder)
         archive, size = None, 0
@@ -142,7 +149,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str, url: str, html: s
                 if archive is None or size >= ARCHIVE_BYTES:
                     if archive is not None:
                         archive.close()
-                        yield pa.RecordBatch.from_arrays([pa.array([path])], names=["run"])
+                        yield listed(path, size)
                     path, size = f"{base}/{uuid.uuid4().hex}.warc.gz", 0
                     archive = filesystem.open_output_stream(path, compression=None)
                 packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
@@ -151,9 +158,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str, url: str, html: s
                 size = archive.tell()
         if archive is not None:
             archive.close()
-            yield pa.RecordBatch.from_arrays([pa.array([path])], names=["run"])
+            yield listed(path, size)
 
-    return records.mapInArrow(run, "run string")
+    return records.mapInArrow(run, "run string, size long")
 
 
 def filesystem_path(folder: str) -> tuple[FileSystem, str]:
@@ -194,8 +201,12 @@ def read_archives(runs: DataFrame, folder: str) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*found), schema.types)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    # a task for each archive: rows here are small, but what they name is not
-    return runs.repartition(max(1, runs.count()), "run").mapInArrow(run, _ENTRY)
+    # rows here are small, but what they name is not: tasks by the bytes of their archives,
+    # ranges of the random names, so that each has about as many
+    listed, total = runs.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    spread = min(listed, runs.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(1, spread, -(-total // READ_BYTES))
+    return runs.repartitionByRange(tasks, "run").select("run").mapInArrow(run, _ENTRY)
 
 
 def _order(entry: tuple) -> tuple:
@@ -249,7 +260,8 @@ def merge_runs(entries: DataFrame) -> DataFrame:
     """All entries in order of URL key, time and id, from runs that are each sorted.
 
     Partitions are ranges of that order, also within one URL, so a page captured
-    very often is spread. Each gets its slices of all runs and merges them.
+    very often is spread. Each gets its slices of all runs and merges them. Their
+    number follows from the number of captures, so that a task's slices are bounded.
     """
     keys = ["urlkey", "captured_at", "page_id"]
     names = entries.columns
@@ -280,7 +292,8 @@ def merge_runs(entries: DataFrame) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], names=names)
 
-    ranged = entries.repartitionByRange(*keys).sortWithinPartitions("run", *keys)
+    ranges = max(1, -(-entries.count() // RANGE_CAPTURES))
+    ranged = entries.repartitionByRange(ranges, *keys).sortWithinPartitions("run", *keys)
     return ranged.mapInArrow(run, entries.schema)
 
 
