@@ -233,3 +233,20 @@ def test_sum_of_squares_identity():
     )
     got = model.raw(slots, x[slots], np.array([len(slots)]))[0]
     assert np.isclose(got, 0.1 + model.linear @ x + pairs)
+
+
+def test_splits_deal_points_to_near_cells():
+    r = np.random.default_rng(5)
+    points = r.integers(-50, 50, (4000, 3))
+    points[:1500] = points[0]
+    splits = topk.Splits(points[::10], 8)
+    cells = splits.cell_of(points)
+    assert splits.cells > 4 and set(cells) == set(range(splits.cells))
+    assert len(set(cells[:1500])) == 1
+    assert (splits.cell_of(points[:, :2]) == splits.cell_of(np.pad(points[:, :2], ((0, 0), (0, 1))))).all()
+    assert topk.Splits(np.zeros((90, 4), np.int64), 8).cells == 1
+    assert topk.Splits(np.zeros((0, 0), np.int64), 1).cell_of(points).tolist() == [0] * 4000
+
+
+def test_blocks_hold_neighbouring_cells():
+    assert topk._blocks([3, 4, 9, 0, 25, 1, 2], 10) == ([0, 0, 1, 1, 2, 5, 5], [1, 1, 1, 1, 3, 1, 1])

@@ -142,6 +142,25 @@ def test_top_k_on_odd_vectors(spark):
     assert topk.top_k(rows.limit(0), rows.limit(0)).count() == 0
 
 
+def test_top_k_over_many_shards_and_blocks(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(topk, "SHARD_POINTS", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    r = np.random.default_rng(6)
+    centres = r.normal(size=(6, 4)) * 3
+    vectors = [(centres[i % 6] + r.normal(size=4) / 5).tolist()[: 4 - (i % 11 == 0)] for i in range(500)]
+    vectors[100:250] = [vectors[100]] * 150  # a hot vector
+    rows = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = topk.top_k(rows, rows.filter("vec_id % 5 = 0")).collect()
+    points = [np.array([np.floor(256 * x) for x in v] + [0.0] * (4 - len(v))) for v in vectors]
+    want = set()
+    for q in range(0, 500, 5):
+        scored = sorted((-int(points[q] @ points[c]), c) for c in range(500) if c != q)[:5]
+        want |= {(q, rank, c, -score) for rank, (score, c) in enumerate(scored, 1)}
+    assert len(got) == len(want) and {tuple(x) for x in got} == want
+
+
 def cleaned(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     return [r.text for r in line_dedup.without_recurring_lines(docs).orderBy("doc_id").collect()]
@@ -235,7 +254,7 @@ def test_edited_counts(odd, empty):
     assert token_counts.edited_counts(empty.withColumn("edits", edits), PATH, ["doc_id"]).count() == 0
 
 
-def test_warc_round_trip(spark, small):
+def test_warc_round_trip(spark, small, monkeypatch):
     pages = [(1, "http://a.org/x", "same"), (2, None, "same"), (3, "http://a.org/x", None), (4, "bad\r\nurl é", ""),
              (5, "http://b.org", "o" * 200_000), (5, "http://b.org", "o" * 200_000), (None, "x://c", "same")]
     rows = spark.createDataFrame(pages, "page_id long, url string, html string")
@@ -246,6 +265,8 @@ def test_warc_round_trip(spark, small):
     }
     assert len(got) == 7
     assert warc.capture_histories(rows.limit(0)).count() == 0
+    monkeypatch.setattr(warc, "RANGE_CAPTURES", 40)  # several ranges, several archives a task
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4096)
     whole = entries.op8_warc(spark, small).collect()
     import base64
 

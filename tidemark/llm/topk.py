@@ -4,17 +4,20 @@ Trees split at the median of the widest component and keep tight bounding boxes.
 The inner product of a query with any point of a box is at most the sum over
 components of the larger product with the box's ends; a traversal takes the box
 with the highest such bound first and ends once no bound reaches the k-th score.
-A query searches its home shard first, and carries the k-th score found there to
-all others.
+
+Points are dealt to shards by median splits as well, fitted on a bounded sample, so
+that shards have tight boxes. A query searches its home shard first and carries the
+k-th score found there; it is sent on only to shards of cells whose box can reach it.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import new_run_folder
@@ -24,6 +27,10 @@ SCALE = 256
 SHARD_POINTS = 8_192
 LEAF_POINTS = 256
 QUERY_BLOCK = 4_096
+#: Most cells that points are dealt to, and rows of the sample for each that splits are
+#: fitted on. A cell with more than ``SHARD_POINTS`` points has several shards.
+MOST_CELLS = 1_024
+SAMPLE_A_CELL = 32
 
 
 def quantised(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -117,6 +124,132 @@ class KdTree:
         return out
 
 
+class Splits:
+    """Cells by median splits of the widest component; near cells have near numbers."""
+
+    def __init__(self, sample: np.ndarray, cells: int) -> None:
+        self.width = sample.shape[1]
+        self.cells = 0
+        #: component, cut, left and right child of inner nodes; a cell as -1 - number
+        self.nodes: list[tuple[int, int, int, int]] = []
+        self.root = self._build(sample, cells)
+
+    def _build(self, own: np.ndarray, cells: int) -> int:
+        if cells > 1 and len(own) > 1:
+            axis = int((own.max(0) - own.min(0)).argmax()) if self.width else 0
+            values = np.sort(own[:, axis]) if self.width else np.zeros(1, np.int64)
+            cut = int(values[len(own) * (cells // 2) // cells])
+            if cut == values[0]:  # ties: the next value, if there is one
+                cut = int(next(iter(values[values > cut]), cut))
+            left = own[:, axis] < cut if self.width else np.zeros(len(own), bool)
+            if left.any():
+                node = len(self.nodes)
+                self.nodes.append((axis, cut, 0, 0))
+                children = (self._build(own[left], cells // 2), self._build(own[~left], cells - cells // 2))
+                self.nodes[node] = (axis, cut, *children)
+                return node
+        self.cells += 1
+        return -self.cells
+
+    def cell_of(self, points: np.ndarray) -> np.ndarray:
+        """The cell of each point; missing components are zero."""
+        missing = self.width - points.shape[1]
+        if missing > 0:
+            points = np.pad(points, ((0, 0), (0, missing)))
+        out = np.empty(len(points), np.int64)
+        todo = [(self.root, np.arange(len(points)))]
+        while todo:
+            node, rows = todo.pop()
+            if node < 0:
+                out[rows] = -1 - node
+                continue
+            axis, cut, left, right = self.nodes[node]
+            low = points[rows, axis] < cut
+            todo += [(left, rows[low]), (right, rows[~low])]
+        return out
+
+
+def _with_cells(points: DataFrame, splits: Splits) -> DataFrame:
+    """``id``, ``point`` and ``cell``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = pa.array(splits.cell_of(_matrix(batch.column(1))), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=["id", "point", "cell"])
+
+    return points.select("id", "point").mapInArrow(run, "id long, point array<long>, cell long")
+
+
+def _cell_boxes(points: DataFrame, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of the box around each cell's points, filled up with zeros like the points.
+
+    Components are reduced in Spark; one row for each cell and component comes back. A
+    cell without points has a box that no query reaches.
+    """
+    ends = (
+        points.select("cell", F.posexplode("point").alias("at", "x"))
+        .groupBy("cell", "at")
+        .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("n"))
+        .collect()
+    )
+    counts = dict(points.groupBy("cell").count().collect())
+    width = max((r["at"] + 1 for r in ends), default=0)
+    low, high = np.zeros((cells, width)), np.zeros((cells, width))
+    for cell, at, least, most, n in ends:
+        filled = n < counts[cell]  # shorter points are zero here
+        low[cell, at] = min(least, 0) if filled else least
+        high[cell, at] = max(most, 0) if filled else most
+    return low, high
+
+
+def _with_visits(
+    asked: DataFrame, low: np.ndarray, high: np.ndarray, offsets: list[int], parts: list[int]
+) -> DataFrame:
+    """``shards`` that may hold a score as high as ``reached``, all but the home shard."""
+    names = ["id", "point", "block", "home", "reached", "shards"]
+    shards = [np.arange(a, a + n) for a, n in zip(offsets, parts)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1024):
+                part = batch.slice(first, 1024)
+                queries = _matrix(part.column(1)).astype(np.float64)
+                common = min(queries.shape[1], low.shape[1])
+                q, a, b = queries[:, :common], low[:, :common], high[:, :common]
+                bounds = np.maximum(q, 0) @ b.T + np.minimum(q, 0) @ a.T
+                # more than sums of doubles can be off by
+                slack = 1e-9 * (np.abs(q) @ np.maximum(np.abs(a), np.abs(b)).T) + 1e-9
+                reached = [-np.inf if r is None else r for r in part.column(4).to_pylist()]
+                near = bounds + slack >= np.array(reached, np.float64)[:, None]
+                homes = part.column(3).to_pylist()
+                lists = [
+                    [s for cell in np.flatnonzero(row) for s in shards[cell].tolist() if s != home]
+                    for row, home in zip(near, homes)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(lists, pa.list_(pa.int64()))], names=names
+                )
+
+    return asked.select(*names[:5]).mapInArrow(
+        run, "id long, point array<long>, block long, home long, reached long, shards array<long>"
+    )
+
+
+def _blocks(counts: list[int], size: int) -> tuple[list[int], list[int]]:
+    """First block and number of blocks of each cell's queries; small neighbours share one."""
+    first, parts, block, filled = [], [], 0, 0
+    for n in counts:
+        if filled and filled + n > size:
+            block, filled = block + 1, 0
+        first.append(block)
+        parts.append(max(1, -(-n // size)))
+        if n > size:
+            block, filled = block + parts[-1], 0
+        else:
+            filled += n
+    return first, parts
+
+
 _TREE = (
     "shard long, ids binary, points binary, width int, low binary, high binary, "
     "first binary, stop binary, right binary"
@@ -144,7 +277,7 @@ def _unpack(row: dict) -> KdTree:
     return tree
 
 
-def _searched(pairs: DataFrame, trees: DataFrame, blocks: int, k: int) -> DataFrame:
+def _searched(pairs: DataFrame, trees: DataFrame, k: int) -> DataFrame:
     """The k best of each query (``shard``, ``block``, ``id``, ``point``, ``reached``) in a shard."""
 
     def search(tree: pa.Table, queries: pa.Table) -> pa.Table:
@@ -161,8 +294,8 @@ def _searched(pairs: DataFrame, trees: DataFrame, blocks: int, k: int) -> DataFr
         names = ["query_id", "vec_id", "score"]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, found)})
 
-    every = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    dealt = trees.withColumn("block", F.explode(every))
+    meetings = pairs.select(F.col("shard").alias("at"), F.col("block").alias("with")).distinct()
+    dealt = trees.join(meetings, F.col("shard") == F.col("at")).withColumnRenamed("with", "block")
     return (
         dealt.groupBy("shard", "block")
         .cogroup(pairs.groupBy("shard", "block"))
@@ -187,8 +320,11 @@ def top_k(
     several vectors with a query's id the smallest is the query, asked once. Scores have
     to fit into 64 bits.
 
-    Shards and blocks of queries have a bounded size; each block meets each shard.
-    Points, trees and the answers of home shards are written to the shared folder.
+    Shards and blocks of queries have a bounded size; a block meets a shard only if one
+    of its queries may find a better score there. Points, trees, the answers of home
+    shards and the shards to visit are written to the shared folder. The driver holds
+    splits, boxes and counts of at most ``MOST_CELLS`` cells, fitted on a sample of at
+    most ``MOST_CELLS * SAMPLE_A_CELL`` rows; every row is searched.
     """
     spark = rows.sparkSession
     folder = new_run_folder(spark, "topk")
@@ -197,31 +333,45 @@ def top_k(
         part.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    points = written(quantised(rows, id_col, vector), "points")
-    size = points.count()
-    shards = max(1, -(-size // SHARD_POINTS))
-    asked = quantised(queries, id_col, vector).groupBy("id").agg(F.min("point").alias("point"))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    plain = written(quantised(rows, id_col, vector), "points")
+    cells = min(MOST_CELLS, max(1, -(-plain.count() // SHARD_POINTS)))
+    sample = np.zeros((0, 0), np.int64)
+    if cells > 1:
+        taken = plain.orderBy(F.xxhash64("id"), "id", "point").limit(cells * SAMPLE_A_CELL)
+        sample = _matrix(taken.toArrow()["point"])
+    splits = Splits(sample, cells)
+    points = written(_with_cells(plain, splits), "cells")
+    held = dict(points.groupBy("cell").count().collect())
+    parts = [max(1, -(-held.get(c, 0) // SHARD_POINTS)) for c in range(splits.cells)]
+    offsets = [sum(parts[:c]) for c in range(splits.cells)]
+
+    def dealt(first: list[int], sizes: list[int], by: Column) -> Column:
+        """One of the cell's numbers, by hash."""
+        start, size = (F.get(F.lit(x).cast("array<long>"), F.col("cell").cast("int")) for x in (first, sizes))
+        return start + F.pmod(F.xxhash64(by), size)
+
     # by row, so that repeated rows are spread as well
-    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))
-    planted = points.withColumn("shard", shard).groupBy("shard").applyInArrow(_plant, _TREE)
-    trees = written(planted, "trees")
-    home = F.pmod(F.xxhash64("id"), F.lit(shards))
-    block = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks))
-    asked = asked.select("id", "point", home.alias("home"), block.alias("block"))
+    shard = dealt(offsets, parts, F.monotonically_increasing_id())
+    trees = written(points.withColumn("shard", shard).groupBy("shard").applyInArrow(_plant, _TREE), "trees")
+
+    one = quantised(queries, id_col, vector).groupBy("id").agg(F.min("point").alias("point"))
+    asked = written(_with_cells(one, splits), "asked")
+    asking = dict(asked.groupBy("cell").count().collect())
+    blocks = _blocks([asking.get(c, 0) for c in range(splits.cells)], QUERY_BLOCK)
+    asked = asked.select(
+        "id", "point", dealt(*blocks, F.concat_ws(" ", "id", F.lit("block"))).alias("block"),
+        dealt(offsets, parts, F.col("id")).alias("home"),
+    )
     first = asked.select(
         F.col("home").alias("shard"), "block", "id", "point", F.lit(None).cast("long").alias("reached")
     )
-    at_home = written(_searched(first, trees, blocks, k), "home")
+    at_home = written(_searched(first, trees, k), "home")
     kth = at_home.groupBy("query_id").agg(
         F.when(F.count("*") >= k, F.min("score")).alias("reached")
     )
-    every = F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))
-    others = (
-        asked.join(kth, asked["id"] == kth["query_id"], "left")
-        .withColumn("shard", F.explode(every))
-        .filter("shard != home")
-        .select("shard", "block", "id", "point", "reached")
-    )
-    found = at_home.unionByName(_searched(others, trees, blocks, k))
+    known = asked.join(kth, asked["id"] == kth["query_id"], "left")
+    boxes = _cell_boxes(points, splits.cells)
+    visits = written(_with_visits(known, *boxes, offsets, parts), "visits")
+    others = visits.select(F.explode("shards").alias("shard"), "block", "id", "point", "reached")
+    found = at_home.unionByName(_searched(others, trees, k))
     return _best(found, k).select("query_id", "rank", "vec_id", "score")
