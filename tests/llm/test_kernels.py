@@ -187,10 +187,47 @@ def test_base_spans_are_those_of_the_plain_patterns():
         assert pii.base_spans(text) == sorted(want), text
 
 
-def test_span_model_separates_without_labels():
-    model = pii.SpanModel([(2, "+++00+", 2, 500), (2, "0++00+", 2, 9), (2, "0--0--", 2, 60)])
-    kept = {marks for _, marks, _ in model.accepted()}
-    assert kept == {"+++00+", "0++00+"}
+def test_votes_separate_without_labels():
+    known = pii.Reliabilities([(2, "+++00+", 500), (2, "0++00+", 9), (2, "0--0--", 60)])
+    assert [p > 0.5 for p in known.truth(2, ["+++00+", "0++00+", "0--0--"])] == [True, True, False]
+
+
+def test_the_span_classifier_sees_what_the_votes_do_not():
+    texts = [f"call {w} 555-010-{n} now" for w in ("tel", "part") for n in range(2000, 2040)]
+    spans = [(t.index("555"), t.index(" now")) for t in texts]
+    rows = [pii.features(t, a, pii.PHONE, b) for t, (a, b) in zip(texts, spans)]
+    model = pii.SpanClassifier()
+    model.fit(pii.PHONE, rows, np.array([0.9] * 40 + [0.1] * 40), np.ones(80))
+    ids = np.concatenate([np.array(r) for r in rows])
+    first = np.cumsum([0] + [len(r) for r in rows[:-1]])
+    odds = model.odds(np.full(80, pii.PHONE), ids, first)
+    assert (odds[:40] > 0).all() and (odds[40:] < 0).all()
+
+
+def test_the_likelier_of_overlapping_candidates_stays():
+    text = "ring 00491711234567 today"
+    found = pii.loose_spans(text, pii.base_spans(text))
+    assert {k for _, k, _ in found} == {pii.CARD, pii.PHONE}
+    r = random.Random(7)
+    for _ in range(200):
+        spans = []
+        for _ in range(r.randrange(0, 9)):
+            a = r.randrange(0, 20)
+            spans.append((r.choice([0.5, 1.5, 2.5]), a, a + r.randrange(1, 8)))
+        kept = []
+        for i in sorted(range(len(spans)), key=lambda i: (-spans[i][0], spans[i][1], -spans[i][2])):
+            if all(spans[i][2] <= spans[j][1] or spans[j][2] <= spans[i][1] for j in kept):
+                kept.append(i)
+        assert sorted(pii.without_overlaps(spans)) == sorted(kept)
+
+
+def test_loose_candidates_touch_no_base_span():
+    text = "host 10[.]0[.]0[.]7 or 10.0.0.8, mail a (at) b (dot) org, 1[.]2[.]3[.]999, +1 4111111111111111"
+    base = pii.base_spans(text)
+    loose = pii.loose_spans(text, base)
+    assert [text[a:b] for a, k, b in loose if k == pii.IP] == ["10[.]0[.]0[.]7"]
+    assert [text[a:b] for a, k, b in loose if k == pii.EMAIL] == ["a (at) b (dot) org"]
+    assert not any(a < y and x < b for a, _, b in loose for x, _, y in base)
 
 
 def test_kd_tree_is_exact():

@@ -297,6 +297,18 @@ def test_personal_data_on_odd_rows(odd, empty):
     assert pii.personal_data(empty, ["doc_id"]).count() == 0
 
 
+def test_spans_that_only_the_looser_patterns_find(spark):
+    """Card numbers that a longer run of digits hides are told from order numbers by all they show."""
+    card, plain = "4111 1111 1111 1111", "9000 1234 5678 9017"
+    rows = [(i, f"paid by visa card {card} today") for i in range(40)]
+    rows += [(100 + i, f"see order no {plain[:-1]}{i % 6 + 1} in the ledger") for i in range(40)]
+    rows += [(200, "paid by visa card 4111/1111/1111/1111 today"), (201, "see order no 9000/1234/5678/9011 in the ledger")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.personal_data(docs, ["doc_id"]).collect()}
+    assert got[200] == [(18, pii.CARD, 37, False)] and got[201] == []
+    assert all(got[i] == [(18, pii.CARD, 37, True)] for i in range(40))
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
