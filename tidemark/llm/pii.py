@@ -177,7 +177,7 @@ def votes(text: str, start: int, kind: int, end: int, is_base: bool) -> list[int
         known = digits.startswith(CARD_PREFIXES)
     else:
         national = digits[2:] if digits.startswith("00") else digits
-        strict = 10 <= len(national) <= 15
+        strict = 10 <= len(national) <= 13  # up to 15 are allowed, but hardly in use
         known = ("+" in span or digits.startswith("00")) and national.startswith(CALLING_CODES)
     edges = text[max(0, start - 1) : start] + text[end : end + 1]
     return [
