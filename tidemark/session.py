@@ -61,6 +61,20 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+
+
+def publish_folder(spark: SparkSession, staged: str, folder: str) -> None:
+    """Give a folder that is written in full its name, so that nobody ever reads a part of it."""
+    context = spark.sparkContext
+    path, target = (context._jvm.org.apache.hadoop.fs.Path(f) for f in (staged, folder))
+    if not path.getFileSystem(context._jsc.hadoopConfiguration()).rename(path, target):
+        raise OSError(f"{staged} cannot become {folder}")
+
+
 def let_workers_import(spark: SparkSession) -> None:
     """Python workers on this machine find the package wherever the driver found it.
 

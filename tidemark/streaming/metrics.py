@@ -2,28 +2,27 @@
 
 Orders, items and averages are sums over the retraction feed. A distinct count is
 the number of values whose references, summed over the feed, are above none: the
-references of each day and value are kept in the query's state, and only a value that
-comes or goes changes the figure. What a batch sends is a handful of rows a day;
+references of each day and value are kept beside the query's checkpoint, and only a value
+that comes or goes changes the figure. What a batch sends is a handful of rows a day;
 reading adds them up. No batch looks at the orders themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import PipelineConfig
 from tidemark.functions import day_of
 from tidemark.streaming.jobs import set_trigger
-from tidemark.streaming.retractions import WEIGHT, use_rocksdb
+from tidemark.streaming.kept import KeptRows
+from tidemark.streaming.retractions import WEIGHT
 
 #: What is counted of a day: its orders' customers and products.
-_KINDS = ("customer_id", "product_id")
-_MEASURES = ("orders", "items", "with_quantity", "customers", "products")
+_KINDS = {"customers": "customer_id", "products": "product_id"}
+_MEASURES = ("orders", "items", "with_quantity", *_KINDS)
 _SCHEMA = T.StructType(
     [
         T.StructField("date", T.DateType()),
@@ -32,46 +31,52 @@ _SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
-_STEP = "date date, kind int, orders long, items long, with_quantity long, values long"
-
-
-class References(StatefulProcessor):
-    """Keeps how many live rows of a day refer to a value; sends how the day's figures change."""
-
-    def init(self, handle) -> None:
-        self._count = handle.getValueState("references", "n long")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        date, kind, value = key
-        held = self._count.get()[0] if self._count.exists() else 0
-        orders = items = known = 0
-        for row in rows:
-            orders += row["weight"]
-            if row["quantity"] is not None:
-                items += row["weight"] * row["quantity"]
-                known += row["weight"]
-        now = held + orders
-        if now:
-            self._count.update((now,))
-        else:
-            self._count.clear()
-        values = ((now > 0) - (held > 0)) if value is not None else 0
-        if kind:  # sums are sent once, with the first kind
-            orders = items = known = 0
-        if orders or items or known or values:
-            yield Row(date=date, kind=kind, orders=orders, items=items, with_quantity=known, values=values)
-
-    def close(self) -> None:
-        pass
-
-
-def daily_steps(feed: DataFrame) -> DataFrame:
-    """A stream of orders' retractions as changes of the daily figures."""
-    use_rocksdb(feed.sparkSession)
-    kinds = F.array(*(F.struct(F.lit(i).alias("kind"), F.col(c).alias("value")) for i, c in enumerate(_KINDS)))
-    day = day_of(F.col("order_time")).alias("date")
-    rows = feed.select(day, F.inline(kinds), "quantity", F.col(WEIGHT).alias("weight"))
-    return rows.groupBy("date", "kind", "value").transformWithState(References(), _STEP, "append", "none")
+#: Orders without a time have a day of their own, which ``dated`` tells from the first of all.
+_KEY = ["dated", "day", "kind", "value"]
+_REFERENCES = T.StructType(
+    [
+        T.StructField("dated", T.BooleanType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("value", T.LongType()),
+        T.StructField("references", T.LongType()),
+    ]
+)
+
+
+def references_by_day(feed: DataFrame) -> DataFrame:
+    """How the number of live rows of each day that refer to each value changes."""
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).cast("long").alias("value")) for k, c in _KINDS.items()))
+    date = day_of(F.col("order_time"))
+    day = F.coalesce(date, F.lit("1970-01-01").cast("date")).alias("day")
+    rows = feed.select(date.isNotNull().alias("dated"), day, F.inline(kinds), WEIGHT).filter("value IS NOT NULL")
+    return summed(rows.withColumnRenamed(WEIGHT, "references"))
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*_KEY).agg(F.sum("references").alias("references")).filter("references <> 0")
+
+
+def daily_steps(feed: DataFrame, before: DataFrame, changed: DataFrame) -> DataFrame:
+    """How the daily figures change, at most one row a day.
+
+    ``changed`` are the references that the feed changes and by how many, ``before`` those held.
+    """
+    weight, quantity = F.col(WEIGHT).cast("long"), F.col("quantity")
+    sums = feed.groupBy(day_of(F.col("order_time")).alias("date")).agg(
+        F.sum(weight).alias("orders"),
+        F.sum(quantity * weight).alias("items"),
+        F.sum(F.when(quantity.isNotNull(), weight)).alias("with_quantity"),
+    )
+    held = F.coalesce("held", F.lit(0))
+    there = lambda n: (n > 0).cast("long")
+    moved = changed.join(before.withColumnRenamed("references", "held"), _KEY, "left").select(
+        F.when(F.col("dated"), F.col("day")).alias("date"), "kind", (there(held + F.col("references")) - there(held)).alias("step")
+    )
+    of_kind = (F.sum(F.when(F.col("kind") == kind, F.col("step"))).alias(kind) for kind in _KINDS)
+    values = moved.filter("step <> 0").groupBy("date").agg(*of_kind)
+    both = sums.unionByName(values, allowMissingColumns=True)
+    return both.groupBy("date").agg(*(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in _MEASURES))
 
 
 def start_daily_sales(
@@ -86,20 +91,17 @@ def start_daily_sales(
 
     A batch owns its folder, so a batch that is done again replaces its steps.
     """
+    kept = KeptRows(feed.sparkSession, f"{checkpoint}/references", _REFERENCES, _KEY, summed)
 
-    def write(steps: DataFrame, batch_id: int) -> None:
-        customers = F.sum(F.when(F.col("kind") == 0, F.col("values"))).alias("customers")
-        products = F.sum(F.when(F.col("kind") == 1, F.col("values"))).alias("products")
-        sums = (F.sum(m).alias(m) for m in ("orders", "items", "with_quantity"))
-        figures = steps.groupBy("date").agg(*sums, customers, products).fillna(0, list(_MEASURES))
-        # at most one row a day
+    def write(rows: DataFrame, batch_id: int) -> None:
+        changed = kept.put(references_by_day(rows), batch_id)
+        figures = daily_steps(rows, kept.before(changed, batch_id), changed)
         figures.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             f"{path}/ckpt={ckpt}/batch_id={batch_id}"
         )
 
     writer = (
-        daily_steps(feed)
-        .writeStream.queryName(f"daily sales {checkpoint}")
+        feed.writeStream.queryName(f"daily sales {checkpoint}")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
