@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -35,30 +36,13 @@ def references(children: DataFrame, parents: Mapping[str, tuple[str, DataFrame]]
     return out
 
 
-class Orphans(StatefulProcessor):
-    """Keeps references and existence of a parent; sends how its number of orphans changes."""
-
-    def init(self, handle) -> None:
-        self._held = handle.getValueState("held", "refs long, live long")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        refs, live = self._held.get() if self._held.exists() else (0, 0)
-        before = 0 if live else refs
-        for row in rows:
-            refs, live = refs + row["refs"], live + row["live"]
-        if refs or live:
-            self._held.update((refs, live))
-        else:
-            self._held.clear()
-        now = 0 if live else refs
-        if now != before:
-            yield Row(parent=key[0], id=key[1], orders=now - before)
-
-    def close(self) -> None:
-        pass
+_ORPHANS = "parent string, id long, orders long"
 
 
-_ORPHANS = "parent string, id long, orders long"
+def orphan_counts(rows: DataFrame) -> DataFrame:
+    """How many orphans each parent that a batch touches has now: all its references, unless it is live."""
+    sums = rows.groupBy("parent", "id").agg(F.sum("refs").alias("refs"), F.sum("live").alias("live"))
+    return sums.select("parent", "id", F.when(F.col("live") == 0, F.col("refs")).otherwise(0).alias("orders"))
 
 
 def _owned(path: str, ckpt: int) -> BatchWriter:
@@ -72,8 +56,10 @@ def _owned(path: str, ckpt: int) -> BatchWriter:
     return write
 
 
-def _start(rows: DataFrame, name: str, path: str, checkpoint: str, config: PipelineConfig, ckpt: int, now: bool) -> StreamingQuery:
-    writer = rows.writeStream.queryName(f"{name} {checkpoint}").outputMode("append")
+def _start(
+    rows: DataFrame, name: str, path: str, checkpoint: str, config: PipelineConfig, ckpt: int, now: bool, mode: str = "append"
+) -> StreamingQuery:
+    writer = rows.writeStream.queryName(f"{name} {checkpoint}").outputMode(mode)
     writer = writer.option("checkpointLocation", checkpoint).foreachBatch(_owned(path, ckpt))
     return set_trigger(writer, config, now).start()
 
@@ -83,16 +69,15 @@ def start_orphans(
 ) -> StreamingQuery:
     """Keep the orphans of a stream of ``references`` in the folder ``path``."""
     use_rocksdb(rows.sparkSession)
-    steps = rows.groupBy("parent", "id").transformWithState(Orphans(), _ORPHANS, "append", "none")
-    return _start(steps, "orphans", path, checkpoint, config, ckpt, available_now)
+    return _start(orphan_counts(rows), "orphans", path, checkpoint, config, ckpt, available_now, "update")
 
 
 def read_orphans(spark: SparkSession, path: str, ckpt: int = 1) -> DataFrame:
-    """``missing_parent``, ``parent_id`` and the number of live ``orders`` that refer to it."""
+    """``missing_parent``, ``parent_id`` and the number of live ``orders`` that refer to it, from each parent's newest count."""
     schema = f"{_ORPHANS}, {_PLACE}"
     rows = spark.read.schema(schema).parquet(path).filter(F.col("ckpt") == ckpt)
     sums = rows.groupBy(F.col("parent").alias("missing_parent"), F.col("id").alias("parent_id"))
-    return sums.agg(F.sum("orders").alias("orders")).filter("orders > 0")
+    return sums.agg(F.max_by("orders", "batch_id").alias("orders")).filter("orders > 0")
 
 
 # -- leaders --------------------------------------------------------------
@@ -163,6 +148,27 @@ class Leaders(StatefulProcessor):
 
 
 _LEADERS = "slot int, at int, id long, refs long, items long"
+_STEPS = "slot int, id long, refs long, items long, live long"
+#: Rows that a task holds at most beyond one a parent.
+_PENDING = 1_000_000
+
+
+def _sums(table: pa.Table) -> pa.Table:
+    names = ("refs", "items", "live")
+    summed = table.group_by(["slot", "id"]).aggregate([(n, "sum") for n in names])
+    return summed.select(["slot", "id", *(f"{n}_sum" for n in names)]).rename_columns(["slot", "id", *names])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each parent of a task."""
+    held, pending, size = [], [], 0
+    for batch in batches:
+        pending.append(batch)
+        size += batch.num_rows
+        if size >= _PENDING:
+            held, pending, size = _sums(pa.Table.from_batches(held + pending)).to_batches(), [], 0
+    if held or pending:
+        yield from _sums(pa.Table.from_batches(held + pending)).to_batches(max_chunksize=10_000)
 
 
 def start_leaders(
@@ -179,7 +185,9 @@ def start_leaders(
     """Keep the leading parents of a stream of ``references`` to one table in the folder ``path``."""
     use_rocksdb(rows.sparkSession)
     slot: Column = F.pmod(F.hash("id"), F.lit(slots)).alias("slot")
-    keyed = rows.select(slot, "id", "refs", "items", "live").groupBy("slot")
+    steps = rows.select(slot, "id", "refs", "items", "live")
+    # the orders of a parent are added up before they come to its slot's one task
+    keyed = steps.repartition("slot", "id").mapInArrow(_summed, _STEPS).groupBy("slot")
     lists = keyed.transformWithState(Leaders(k, reserve), _LEADERS, "append", "none")
     return _start(lists, "leaders", path, checkpoint, config, ckpt, available_now)
 
