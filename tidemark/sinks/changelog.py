@@ -31,7 +31,6 @@ from tidemark.operators.state import (
     live,
     merge_changes,
     offered_over,
-    overlay,
 )
 from tidemark.schemas import TableSpec
 from tidemark.session import delete_folder
@@ -217,21 +216,35 @@ class ChangeLog:
 
     def _stage(self, tail: DataFrame, folder: str, expire_before: int | None) -> list[int]:
         """Write the new rows of the buckets that change; returns those buckets."""
-        key = self.spec.key
-        latest_versions(tail, key).write.mode("overwrite").parquet(f"{folder}/newest")
-        newest = self.spark.read.schema(self._flat).parquet(f"{folder}/newest")
-        kept = self.table.rows()
-        # at most one row a bucket comes to the driver
-        touched = offered_over(kept, newest, key).select(self.table.slot().alias(SLOT))
-        if expire_before is not None:
-            touched = touched.unionByName(kept.filter(expired_tombstone(expire_before)).select(SLOT))
-        slots = sorted(r[0] for r in touched.distinct().collect())
-        own = newest.filter(self.table.slot().isin(slots))
-        rows = overlay(kept.filter(F.col(SLOT).isin(slots)).drop(SLOT), own, key)
+        key, kept = self.spec.key, self.table.rows()
+        newest = latest_versions(self.table.dealt(tail), key)
+        if self.folded()[0]:
+            newest = self._winners(kept, newest, f"{folder}/winners")
+            touched = newest.select(self.table.slot().alias(SLOT))
+            if expire_before is not None:
+                touched = touched.unionByName(kept.filter(expired_tombstone(expire_before)).select(SLOT))
+            slots = self._slots(touched)
+            old = kept.filter(F.col(SLOT).isin(slots)).drop(SLOT)
+            rows = self.table.dealt(old.join(newest.select(key), key, "left_anti").select(newest.columns).unionByName(newest))
+        else:
+            slots, rows = None, newest  # nothing to lay them over
         if expire_before is not None:
             rows = rows.filter(~expired_tombstone(expire_before))
-        rows.write.mode("overwrite").parquet(f"{folder}/rows")
-        return slots
+        self.table.with_slot(rows).write.mode("overwrite").partitionBy(SLOT).parquet(f"{folder}/rows")
+        return self._slots(self._staged_rows(folder)) if slots is None else slots
+
+    def _winners(self, kept: DataFrame, newest: DataFrame, folder: str) -> DataFrame:
+        """The rows of ``newest`` that the state lets in, written to a folder."""
+        offered_over(kept, newest, self.spec.key).write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(self._flat).parquet(folder)
+
+    @staticmethod
+    def _slots(rows: DataFrame) -> list[int]:
+        return sorted(r[0] for r in rows.select(SLOT).distinct().collect())  # at most one row a bucket
+
+    def _staged_rows(self, folder: str) -> DataFrame:
+        schema = T.StructType([*self._flat.fields, T.StructField(SLOT, T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{folder}/rows")
 
     def finish_fold(self) -> bool:
         """Put a staged fold into the table. Doing it again gives the same table."""
@@ -241,8 +254,7 @@ class ChangeLog:
         if not entries or entries[0]["done"]:
             return False
         staged = f"{self.root}/staged/fold={number}"
-        new = self.spark.read.schema(self._flat).parquet(f"{staged}/rows")
-        self.table.replace(new, entries[0]["slots"])
+        self.table.replace(self._staged_rows(staged), entries[0]["slots"])
         reached = {r["ckpt"]: r["through_batch"] for r in entries}
         self._mark(number, reached, entries[0]["slots"], done=True)
         delete_folder(self.spark, staged)

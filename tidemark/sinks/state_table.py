@@ -35,6 +35,14 @@ class StateTable:
         """The bucket of a key, as Spark's bucketed writer numbers it."""
         return F.pmod(F.hash(self.spec.key), F.lit(self.buckets))
 
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows dealt out by key so that a task has rows of one bucket, and a bucket as many tasks as Spark's shuffles allow."""
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return rows.repartition(self.buckets * max(1, -(-tasks // self.buckets)), self.spec.key)
+
+    def with_slot(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.spec.flat_schema().fieldNames(), self.slot().alias(SLOT))
+
     def _open(self) -> str:
         """Make the table known to this session, with the partitions that are there now."""
         if not self.spark.catalog.tableExists(self.name):
@@ -54,10 +62,9 @@ class StateTable:
         return self.spark.table(self._open())
 
     def replace(self, rows: DataFrame, slots: Iterable[int]) -> None:
-        """Put ``rows`` in place of everything in ``slots``; other slots are not touched."""
+        """Put ``rows``, which lie by slot in files, in place of everything in ``slots``; other slots are not touched."""
         name = self._open()
-        rows = rows.withColumn(SLOT, self.slot()).select(*self.spec.flat_schema().fieldNames(), SLOT)
-        rows.repartition(self.buckets, self.spec.key).write.mode("overwrite").insertInto(name)
+        rows.select(*self.spec.flat_schema().fieldNames(), SLOT).write.mode("overwrite").insertInto(name)
         filled = {r[0] for r in rows.select(SLOT).distinct().collect()}  # at most one a bucket
         nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.spec.flat_schema())
         for slot in sorted(set(slots) - filled):
