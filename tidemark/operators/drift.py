@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.changes import emit_where
 from tidemark.schemas import TableSpec
+from tidemark.session import new_run_folder
 
 UNKNOWN, CHANGED, TOO_LARGE, ABSENT = "unknown field", "changed type", "out of range", "absent field"
 
@@ -20,8 +22,8 @@ UNKNOWN, CHANGED, TOO_LARGE, ABSENT = "unknown field", "changed type", "out of r
 def new_rows(rows: DataFrame) -> DataFrame:
     """``after``, the new row of each topic row that has one, as a variant."""
     value = F.try_parse_json(F.col("value").cast("string"))
-    after = F.try_variant_get(value, "$.after", "variant")
-    return rows.select(after.alias("after")).filter(F.schema_of_variant("after").startswith("OBJECT"))
+    parsed = rows.select(F.try_variant_get(value, "$.after", "variant").alias("after"))
+    return emit_where(parsed, F.schema_of_variant("after").startswith("OBJECT"), ["after"])
 
 
 def observed_schema(rows: DataFrame) -> DataFrame:
@@ -49,11 +51,15 @@ def drift(rows: DataFrame, spec: TableSpec) -> DataFrame:
     spark = rows.sparkSession
     fields = new_rows(rows).lateralJoin(spark.tvf.variant_explode_outer(F.col("after").outer()))
     found = F.schema_of_variant("value")
-    counted = (
+    counts = (
         fields.select("pos", F.col("key").alias("field"), found.alias("found_type"), _problem(F.col("key"), found, spec).alias("problem"))
         .groupBy("field", "problem", "found_type")
         .agg(F.count("field").alias("rows"), F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("objects"))
     )
+    # a few rows, written so that the messages are gone through once and not for each of the three uses
+    folder = new_run_folder(spark, "drift")
+    counts.write.parquet(folder)
+    counted = spark.read.schema(counts.schema).parquet(folder)
     present = counted.groupBy("field").agg(F.sum("rows").alias("present"))
     expected = spark.createDataFrame([(n,) for n in spec.record.fieldNames()], "field string")
     missing = counted.agg(F.sum("objects")).scalar() - F.coalesce("present", F.lit(0))
