@@ -304,11 +304,15 @@ def _pinned_clock(changelog: ChangeLog):
 # -- streams --------------------------------------------------------------
 
 
+def _third_of_files(spark: SparkSession, folder: str) -> int:
+    """So many files a batch that the batches do not grow in number with the input."""
+    return max(1, -(-len(spark.read.parquet(folder).inputFiles()) // 3))
+
+
 def _staged_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
     """Topic rows written out as files and read back as a stream of about three batches."""
     rows.write.parquet(folder)
-    files = len(spark.read.parquet(folder).inputFiles())
-    return read_topic_folder_stream(spark, folder, files_per_trigger=max(1, -(-files // 3)))
+    return read_topic_folder_stream(spark, folder, files_per_trigger=_third_of_files(spark, folder))
 
 
 def stream_orders_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -359,8 +363,7 @@ def _feed(spark: SparkSession, sf: str, root: str, name: str = "orders") -> Data
     spec, feed = fixtures.SPECS[name], f"{root}/feeds/{name}"
     checkpoint = f"{root}/checkpoints/feeds/{name}"
     start_feed(source, spec, feed, checkpoint, PipelineConfig(), available_now=True).awaitTermination()
-    files = len(spark.read.parquet(feed).inputFiles())
-    return read_feed(spark, feed, spec, files_per_trigger=max(1, -(-files // 3)))
+    return read_feed(spark, feed, spec, files_per_trigger=_third_of_files(spark, feed))
 
 
 def stream_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -411,7 +414,8 @@ def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
         for name in ("customers", "products"):
             rows = fixtures.faulty_topic(spark, sf, name)
             rows.write.parquet(f"{root}/topics/{name}/0")
-            source = read_topic_folder_stream(spark, f"{root}/topics/{name}/*", files_per_trigger=1)
+            files = _third_of_files(spark, f"{root}/topics/{name}/0")
+            source = read_topic_folder_stream(spark, f"{root}/topics/{name}/*", files_per_trigger=files)
             again = rows.filter("offset % 7 = 0")  # delivered once more, in a later batch
             again.write.parquet(f"{root}/topics/{name}/1")
             changelog = ChangeLog(spark, f"{root}/{name}", fixtures.SPECS[name], buckets=8)
@@ -612,12 +616,19 @@ def orders_enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 def enriched_by_deltas(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched orders of the older half of each log, brought up to date by the delta of the newer half."""
-    tables = []
+    root, tables = new_run_folder(spark, "deltas"), []
+
+    def staged(rows: DataFrame, folder: str) -> DataFrame:
+        """Written once, as the parts of the join each start from it."""
+        rows.write.parquet(f"{root}/{folder}")
+        return spark.read.schema(rows.schema).parquet(f"{root}/{folder}")
+
     for name in ("orders", "customers", "products"):
-        log = fixtures.changes(spark, sf, name)
+        log = staged(fixtures.changes(spark, sf, name), f"{name}/log")
         middle = log.agg(F.avg("_version")).scalar()
-        before = latest_versions(log.filter(F.col("_version") <= middle))
-        tables.append((live(before), table_delta(before, log.filter(F.col("_version") > middle))))
+        before = staged(latest_versions(log.filter(F.col("_version") <= middle)), f"{name}/before")
+        delta = staged(table_delta(before, log.filter(F.col("_version") > middle)), f"{name}/delta")
+        tables.append((live(before), delta))
     return applied(joins.enrich_orders(*(rows for rows, _ in tables)), enriched_delta(*tables))
 
 

@@ -3,14 +3,18 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from rows import bag, envelope, message, order, topic
+from rows import bag, change, envelope, flat, message, order, topic
 
+import __spark_entry__ as entry
 from tidemark.config import PipelineConfig
 from tidemark.operators.changes import valid_changes
+from tidemark.operators.deltas import table_delta
+from tidemark.operators.drift import drift, new_rows
 from tidemark.operators.state import current_rows
 from tidemark.plans.sales import daily_sales
 from tidemark.schemas import ORDERS
 from tidemark.session import let_workers_import
+from tidemark.sinks.changelog import ChangeLog
 from tidemark.sources.kafka import read_topic_folder, read_topic_folder_stream
 from tidemark.streaming import live
 from tidemark.streaming.kept import KeptRows
@@ -104,3 +108,60 @@ def test_orphans_are_summed_by_spark(spark, tmp_path):
 
     assert step(("customers", 1, 2, 0, 0), ("customers", 1, 1, 0, 0), ("customers", 2, 1, 0, 1)) == [("customers", 1, 3)]
     assert step(("customers", 1, 0, 0, 1), ("customers", 2, 0, 0, -1)) == [("customers", 2, 1)]
+
+
+def scans(frame, what):
+    return frame._jdf.queryExecution().executedPlan().toString().count(what)
+
+
+def test_drift_goes_through_the_messages_once(spark, tmp_path):
+    folder = str(tmp_path / "topic")
+    put(spark, folder, *(created(i, i, order_time=0) for i in range(5)), message("not json", offset=9))
+    # once for each message, and not again for the filter
+    assert scans(new_rows(read_topic_folder(spark, folder)), "parseJson") == 1
+    found = drift(read_topic_folder(spark, folder), ORDERS)
+    assert scans(found, "topic") == 0 and found.count() == 0
+
+
+def test_batches_of_a_staged_topic_do_not_grow_with_its_files(spark, tmp_path):
+    folder = str(tmp_path / "many")
+    spark.range(0, 70, 1, 7).write.parquet(folder)
+    assert entry._third_of_files(spark, folder) == 3
+
+
+def test_progress_takes_as_few_batches_with_many_files(spark, small, monkeypatch):
+    took, topics = [], entry.fixtures.faulty_topic
+    monkeypatch.setattr(entry.fixtures, "faulty_topic", lambda *a: topics(*a).repartition(12, "offset"))
+    read = entry.read_topic_folder_stream
+
+    def reading(spark, folder, files_per_trigger):
+        took.append(files_per_trigger)
+        return read(spark, folder, files_per_trigger=files_per_trigger)
+
+    monkeypatch.setattr(entry, "read_topic_folder_stream", reading)
+    rows = entry.stream_progress(spark, small)
+    plain = {n: topics(spark, small, n).count() for n in ("customers", "products")}
+    assert took == [4, 4] and {r["table_name"]: r["rows"] for r in rows.collect()} == plain
+
+
+def test_first_fold_is_written_without_a_second_shuffle(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "log"), ORDERS, buckets=2)
+    dealt = log.table.with_slot(log.table.dealt(log.changes()))
+    assert dealt.rdd.getNumPartitions() % 2 == 0
+    rows = flat(spark, ORDERS, *(change(i, 1, quantity=i) for i in range(40)))
+    staged = str(tmp_path / "staged")
+    slots = log._stage(rows, staged, None)
+    assert slots == [0, 1] and sorted(f.name for f in (tmp_path / "staged").iterdir()) == ["rows"]
+    files = [f for f in spark.read.parquet(f"{staged}/rows").inputFiles()]
+    assert all("_slot=" in f for f in files)
+    log.table.replace(log._staged_rows(staged), slots)
+    assert bag(log.table.rows().select(*rows.columns)) == bag(rows)
+
+
+def test_a_delta_joins_the_state_once(spark):
+    before = flat(spark, ORDERS, *(change(i, 1, quantity=i) for i in range(6)))
+    more = flat(spark, ORDERS, change(1, 2, quantity=9), change(2, 0, quantity=9), change(3, 5, deleted=1), change(8, 1, quantity=2))
+    delta = table_delta(before, more)
+    # one join that keeps the state's rows of changed keys and one that puts them beside the changes
+    assert scans(delta, "LeftSemi") == 1 and scans(delta, "LeftOuter") == 1
+    assert sorted((r["id"], r["quantity"], r["_weight"]) for r in delta.collect()) == [(1, 1, -1), (1, 9, 1), (3, 3, -1), (8, 2, 1)]

@@ -11,10 +11,16 @@ from tidemark.functions import utc_timestamp
 
 
 def enrich_orders(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, carry: Sequence[str] = ()
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    carry: Sequence[str] = (),
+    buyers_first: bool = False,
 ) -> DataFrame:
     """Each live order with its live customer and product, and the columns to ``carry`` along.
 
+    The side that leaves fewer orders is best joined first; without ``buyers_first`` it is the products.
+
     The order side may be skewed towards one customer or product; adaptive
     execution splits such partitions, and the other side of each join is unique.
     """
@@ -30,13 +36,15 @@ def enrich_orders(
         F.col("price").alias("product_price"),
         *(c for c in carry if c in products.columns),
     )
+    sides = [(item, "product_id"), (buyer, "customer_id")]
+    (first, first_key), (second, second_key) = sides[::-1] if buyers_first else sides
     total = (F.col("quantity") * F.col("product_price")).cast("decimal(20,2)")
     return (
         orders.select(
             "id", "customer_id", "product_id", "quantity", "order_time", *(c for c in carry if c in orders.columns)
         )
-        .join(item, "product_id")
-        .join(buyer, "customer_id")
+        .join(first, first_key)
+        .join(second, second_key)
         .select(
             "id",
             "quantity",
