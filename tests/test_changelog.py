@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -8,7 +9,7 @@ from tidemark.functions.times import MICROS_PER_DAY
 from tidemark.operators.changes import triage
 from tidemark.operators.state import latest_versions
 from tidemark.schemas import CUSTOMERS, ORDERS
-from tidemark.sinks.changelog import ChangeLog
+from tidemark.sinks.changelog import SENT_KEYS, ChangeLog
 from tidemark.sinks.rollup import read_rollup, rebuild_rollup, roll_yesterday
 
 
@@ -194,6 +195,38 @@ def test_a_fold_that_died_is_finished_by_the_next(spark, changelog, monkeypatch,
     assert again.folded() == (3, {1: 2}) and bag(again.state()) == whole
 
 
+def test_a_first_fold_is_written_once(spark, changelog, monkeypatch):
+    for n, rows in enumerate(HISTORY):
+        changelog.write_batch(batch(spark, *rows), n)
+    whole = bag(changelog.state())
+
+    def staged(*args):
+        raise AssertionError("the rows were staged")
+
+    monkeypatch.setattr(changelog, "_stage", staged)
+    assert changelog.compact(through={1: 1}) == 1
+    assert changelog.folded() == (1, {1: 1}) and bag(changelog.state()) == whole
+    assert changelog.table.rows().filter("_slot != pmod(hash(id), 4)").count() == 0
+
+
+def test_a_first_fold_that_died_leaves_nothing_behind(spark, changelog, monkeypatch):
+    changelog.write_batch(batch(spark, change(1, 10, deleted=1), change(2, 2000)), 0)
+
+    def dies(*args, **options):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(changelog, "_mark", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        changelog.compact(through={1: 0})
+    monkeypatch.undo()
+    assert changelog.folded() == (0, {}) and changelog.table.rows().count() == 2
+    assert sorted(r["id"] for r in changelog.state().collect()) == [1, 2]
+    again = ChangeLog(spark, changelog.root, ORDERS, buckets=4)  # as after a restart
+    assert again.compact(through={1: 0}, expire_before=1000) == 1
+    assert [r["id"] for r in again.table.rows().collect()] == [2]
+    assert again.folded() == (1, {1: 0}) and [r["id"] for r in again.state().collect()] == [2]
+
+
 def test_a_state_bucket_that_loses_its_last_row_is_emptied(spark, changelog):
     changelog.write_batch(batch(spark, change(1, 10, deleted=1), change(2, 2000)), 0)
     changelog.compact(through={1: 0})
@@ -329,6 +362,66 @@ def test_recent_rows_read_other_rows_for_positions_only(spark, changelog):
     assert all("quantity" not in line for line in kept if line not in pruned)
 
 
+@pytest.mark.parametrize("compacted", [False, True])
+def test_only_rows_of_wanted_keys_are_shuffled_for_recent_ones(spark, changelog, compacted):
+    changelog.write_batch(batch(spark, *BEFORE), 0)
+    changelog.write_batch(batch(spark, *AFTER), 1)
+    if compacted:
+        changelog.compact(through={1: 0})
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = changelog.recent(datetime(1970, 2, 15))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # the tail once, or over a folded state three times beside the state's positions
+    assert plan.count("LeftSemi, BuildRight") == (4 if compacted else 1)
+
+
+def odd_history():
+    """Changes of few keys at random, some without key, version or time; none twice at one place."""
+    draw = random.Random(5)
+    return [
+        [
+            change(
+                draw.choice([*range(40), None]),
+                draw.choice([*range(9), None]),
+                deleted=int(draw.random() < 0.2),
+                offset=100 * n + i,
+                quantity=i,
+                order_time=draw.choice([*range(0, 60 * DAY, DAY // 2), None]),
+            )
+            for i in range(60)
+        ]
+        for n in range(3)
+    ]
+
+
+@pytest.mark.parametrize("sent", [0, SENT_KEYS])
+@pytest.mark.parametrize("folded", [None, 1])
+def test_recent_and_newest_rows_of_an_odd_history(spark, changelog, monkeypatch, folded, sent):
+    monkeypatch.setattr("tidemark.sinks.changelog.SENT_KEYS", sent)
+    for n, rows in enumerate(odd_history()):
+        changelog.write_batch(batch(spark, *rows), n)
+    if folded is not None:
+        changelog.compact(through={1: folded})
+    for since in (0, 58 * DAY):
+        whole = changelog.current().filter(F.col("order_time") >= since)
+        assert bag(changelog.recent(F.lit(since))) == bag(whole)
+    assert changelog.newest() == changelog.current().agg(F.max("order_time")).first()[0]
+
+
+def test_the_newest_time_is_that_of_a_live_row(spark, changelog):
+    assert changelog.newest() is None
+    changelog.write_batch(batch(spark, change(1, 10, order_time=90 * DAY), change(2, 10, order_time=3 * DAY)), 0)
+    assert changelog.newest() == 90 * DAY
+    changelog.compact(through={1: 0})
+    changelog.write_batch(batch(spark, change(1, 20, order_time=5 * DAY), change(3, 20, order_time=None)), 1)
+    assert changelog.newest() == 5 * DAY
+    changelog.write_batch(batch(spark, change(1, 30, deleted=1)), 2)
+    assert changelog.newest() == 3 * DAY
+
+
 def test_maintenance_folds_drops_and_expires(spark, changelog):
     for n in range(6):
         changelog.write_batch(batch(spark, change(n, 10 + n), change(100, 10 + n, deleted=1)), n)

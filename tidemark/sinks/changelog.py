@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_of_micros
-from tidemark.functions.times import AsOf
+from tidemark.functions.times import MICROS_PER_DAY, AsOf
 from tidemark.operators.changes import TOMBSTONE, emit_where
 from tidemark.operators.state import (
     expired_tombstone,
@@ -33,13 +33,16 @@ from tidemark.operators.state import (
     offered_over,
 )
 from tidemark.schemas import TableSpec
-from tidemark.session import delete_folder
+from tidemark.session import delete_folder, new_run_folder
 from tidemark.sinks.state_table import SLOT, StateTable
 
 # Highest batch number of each checkpoint version.
 Batches = Mapping[int, int]
 
 BUCKETS = 64
+
+# So many keys at most are sent to every executor, some 60 bytes each. More are left to Spark's joins.
+SENT_KEYS = 2_000_000
 _PLACE = re.compile(r"/ckpt=(\d+)/batch_id=(\d+)/valid=1/")
 
 
@@ -174,16 +177,51 @@ class ChangeLog:
         """Live rows at or after an event time, as a filter on ``current()`` gives them.
 
         Of the folded state only the row groups from ``since`` on are read in full, the
-        others for the keys and positions that decide whether a later batch wins.
+        others for the keys and positions that decide whether a later batch wins. Only
+        keys with a row from ``since`` on somewhere can be among them; they are looked up
+        first, so that of state and log just their rows are shuffled.
         """
         number, folded = self.folded()
-        tail = self.changes(folded)
+        key, tail = self.spec.key, self.changes(folded)
+        found = self._since(tail, since).select(key)
+        if number:
+            found = found.unionByName(self._since(self._kept(since), since).select(key))
+        keys = self._staged_keys(found)
+        few = keys.count() <= SENT_KEYS
+        if few:
+            unnamed = tail.filter(F.col(key).isNull())  # no join finds these
+            tail = tail.join(F.broadcast(keys), key, "left_semi").unionByName(unnamed)
         if number:
-            rows = merge_changes(self._kept(), tail, self.spec.key, self._kept(since))
+            kept = self._kept().join(F.broadcast(keys), key, "left_semi") if few else self._kept()
+            rows = merge_changes(kept, tail, key, self._kept(since))
         else:
-            rows = latest_versions(tail, self.spec.key)
+            rows = latest_versions(tail, key)
+        return self._since(rows, since)
+
+    def _staged_keys(self, keys: DataFrame) -> DataFrame:
+        folder = new_run_folder(self.spark, "recent-keys")
+        keys.write.parquet(folder)
+        return self.spark.read.schema(keys.schema).parquet(folder)
+
+    def _since(self, rows: DataFrame, since: AsOf) -> DataFrame:
         return live(rows).filter(F.col(self.spec.event_time) >= as_of_micros(since))
 
+    def newest(self) -> int | None:
+        """Event time of the newest live row, as the maximum over ``current()`` gives it.
+
+        The newest time in state and log is no earlier, and mostly of about the same day.
+        If no row of that day is live after all, every row is merged.
+        """
+        number, folded = self.folded()
+        held, latest = live(self.changes(folded)), F.max(self.spec.event_time)
+        if number:
+            held = held.unionByName(live(self._kept()))
+        top = held.agg(latest).first()[0]
+        if top is None:
+            return None
+        found = self.recent(F.lit(top - MICROS_PER_DAY)).agg(latest).first()[0]
+        return self.current().agg(latest).first()[0] if found is None else found
+
     def compacted(self, since: AsOf = None) -> DataFrame:
         """Live rows of the folded state alone; with ``since``, those at or after that event time.
 
@@ -201,23 +239,36 @@ class ChangeLog:
         replay may reach.
 
         The new rows are staged in full before a bucket is replaced. A fold that died in
-        between is finished by the next one, or by ``finish_fold``.
+        between is finished by the next one, or by ``finish_fold``. Only the first fold
+        writes into the table at once: nobody reads it before the fold is marked.
         """
         self.finish_fold()
         number, folded = self.folded()
         if through is None:
             through = {ckpt: n - 1 for ckpt, n in self.batches().items()}
         reached = {**folded, **{c: max(n, folded.get(c, n)) for c, n in through.items()}}
-        staged = f"{self.root}/staged/fold={number + 1}"
-        slots = self._stage(self.changes(folded, reached), staged, expire_before)
-        self._mark(number + 1, reached, slots, done=False)
-        self.finish_fold()
+        tail = self.changes(folded, reached)
+        if number or not self.table.rows().isEmpty():  # rows may be left of a first fold that died
+            staged = f"{self.root}/staged/fold={number + 1}"
+            slots = self._stage(tail, staged, expire_before)
+            self._mark(number + 1, reached, slots, done=False)
+            self.finish_fold()
+        else:
+            self.table.fill(self._unexpired(self._newest(tail), expire_before))
+            self._mark(number + 1, reached, self._slots(self.table.rows()), done=True)
         return number + 1
 
+    def _newest(self, tail: DataFrame) -> DataFrame:
+        return latest_versions(self.table.dealt(tail), self.spec.key)
+
+    @staticmethod
+    def _unexpired(rows: DataFrame, before: int | None) -> DataFrame:
+        return rows if before is None else rows.filter(~expired_tombstone(before))
+
     def _stage(self, tail: DataFrame, folder: str, expire_before: int | None) -> list[int]:
         """Write the new rows of the buckets that change; returns those buckets."""
         key, kept = self.spec.key, self.table.rows()
-        newest = latest_versions(self.table.dealt(tail), key)
+        newest = self._newest(tail)
         if self.folded()[0]:
             newest = self._winners(kept, newest, f"{folder}/winners")
             touched = newest.select(self.table.slot().alias(SLOT))
@@ -227,11 +278,12 @@ class ChangeLog:
             old = kept.filter(F.col(SLOT).isin(slots)).drop(SLOT)
             rows = self.table.dealt(old.join(newest.select(key), key, "left_anti").select(newest.columns).unionByName(newest))
         else:
-            slots, rows = None, newest  # nothing to lay them over
-        if expire_before is not None:
-            rows = rows.filter(~expired_tombstone(expire_before))
-        self.table.with_slot(rows).write.mode("overwrite").partitionBy(SLOT).parquet(f"{folder}/rows")
-        return self._slots(self._staged_rows(folder)) if slots is None else slots
+            slots, rows = None, newest  # what the table holds is of no fold
+        rows = self.table.with_slot(self._unexpired(rows, expire_before))
+        rows.write.mode("overwrite").partitionBy(SLOT).parquet(f"{folder}/rows")
+        if slots is None:
+            slots = sorted({*self._slots(kept), *self._slots(self._staged_rows(folder))})
+        return slots
 
     def _winners(self, kept: DataFrame, newest: DataFrame, folder: str) -> DataFrame:
         """The rows of ``newest`` that the state lets in, written to a folder."""

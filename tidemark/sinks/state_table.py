@@ -61,6 +61,10 @@ class StateTable:
         """Every key's row, with its slot."""
         return self.spark.table(self._open())
 
+    def fill(self, rows: DataFrame) -> None:
+        """Put ``rows``, which are dealt out, into the empty table."""
+        self.with_slot(rows).write.mode("overwrite").insertInto(self._open())
+
     def replace(self, rows: DataFrame, slots: Iterable[int]) -> None:
         """Put ``rows``, which lie by slot in files, in place of everything in ``slots``; other slots are not touched."""
         name = self._open()
